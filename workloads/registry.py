@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("metrics",)
+SECTIONS = ("metrics", "models")
 
 
 def _merged(attribute: str) -> dict:
