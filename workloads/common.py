@@ -17,7 +17,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Wide types for the comparison: decimals as double, integers as bigint, zone-free timestamps."""
+    """Wide types for the comparison: decimals as double, integers as bigint, zone-free timestamps,
+    string arrays as text."""
 
     def widen(field: T.StructField):
         col = F.col(f"`{field.name}`")
@@ -28,6 +29,10 @@ def comparable(df: DataFrame) -> DataFrame:
             return col.cast("bigint").alias(field.name)
         if isinstance(kind, T.TimestampType):
             return col.cast("timestamp_ntz").alias(field.name)
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.ArrayType):
+            return F.array_join(F.transform(col, lambda a: F.array_join(a, ",")), "|").alias(field.name)
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
+            return F.array_join(col, "|").alias(field.name)
         return col
 
     return df.select(*[widen(f) for f in df.schema.fields])

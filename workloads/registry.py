@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("metrics", "models")
+SECTIONS = ("metrics", "models", "telemetry")
 
 
 def _merged(attribute: str) -> dict:
