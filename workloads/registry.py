@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("metrics", "models", "telemetry")
+SECTIONS = ("metrics", "models", "telemetry", "governance")
 
 
 def _merged(attribute: str) -> dict:
