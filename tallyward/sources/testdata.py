@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 # The fixtures' "today": finance and governance rows end in 2001, events in January 2024.
 FINANCE_DAY = date(2001, 7, 15)
 FINANCE_TIME = datetime(2001, 7, 15)
+FINANCE_MONDAY = datetime(2001, 7, 16)
 EVENT_TIME = datetime(2024, 1, 31)
 
 _DAY = f"DATE'{FINANCE_DAY}'"
@@ -420,11 +421,12 @@ def metric_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def query_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Queries against the views, moved back by a fixed number of days to the finance calendar."""
     return table(spark, folder, "events").selectExpr(
         "event_id AS query_id",
         "concat('U', user_id) AS user_name",
-        "concat('select * from Analytics.Semantic.Sales_V', event_id % 60, ' where k = ', user_id) AS query_text",
-        "ts AS start_time",
+        "concat('select * from Analytics.Semantic.Sales_V', event_id % 40, ' where k = ', user_id) AS query_text",
+        "ts - INTERVAL '8240' DAY AS start_time",
         "CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS execution_status",
     )
 

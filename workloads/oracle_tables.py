@@ -202,8 +202,8 @@ SELECT concat('R', o_orderkey) AS request_id,
 FROM orders""",
     "query_history": """
 SELECT event_id AS query_id, concat('U', user_id) AS user_name,
-       concat('select * from Analytics.Semantic.Sales_V', event_id % 60, ' where k = ', user_id) AS query_text,
-       ts AS start_time, CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS execution_status
+       concat('select * from Analytics.Semantic.Sales_V', event_id % 40, ' where k = ', user_id) AS query_text,
+       ts - INTERVAL 8240 DAY AS start_time, CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS execution_status
 FROM events""",
     "business_glossary": """
 SELECT concat('metric_', p_partkey) AS term, concat('Definition of ', p_name) AS canonical_definition,
