@@ -64,17 +64,14 @@ def view_usage(views: DataFrame, history: DataFrame, as_of: datetime, days: int
     words = recent.select(
         "query_id", "user_name", "start_time", F.explode(F.array_distinct(F.split("whole", "\\s+"))).alias("text")
     )
-    by_word = words.join(_windows(words.select("text").distinct(), names.filter(~blank)), "text")
-    texts = recent.withColumnRenamed("whole", "text")
-    by_text = texts.join(_windows(texts.select("text").distinct(), names.filter(blank)), "text")
-    return (
-        by_word.unionByName(by_text)
-        .groupBy("name")
-        .agg(
-            F.count_distinct("query_id").alias("query_count"),
-            F.count_distinct("user_name").alias("consumer_count"),
-            F.max("start_time").alias("last_queried"),
-        )
+    hits = words.join(_windows(words.select("text").distinct(), names.filter(~blank)), "text")
+    if not names.filter(blank).isEmpty():
+        texts = recent.withColumnRenamed("whole", "text")
+        hits = hits.unionByName(texts.join(_windows(texts.select("text").distinct(), names.filter(blank)), "text"))
+    return hits.groupBy("name").agg(
+        F.count_distinct("query_id").alias("query_count"),
+        F.count_distinct("user_name").alias("consumer_count"),
+        F.max("start_time").alias("last_queried"),
     )
 
 

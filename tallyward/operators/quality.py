@@ -22,18 +22,20 @@ def orphan_check(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_records"))
 
 
-def relationship_integrity(rev: DataFrame, dims: Mapping[str, tuple[DataFrame, str]], as_of: date) -> DataFrame:
-    """PASS or FAIL per declared relationship ``label -> (dimension, key)`` over the last year."""
-    recent = rev.filter(F.col("recognized_date") >= D.lit_date(D.shift_months(as_of, -12)))
+def relationship_integrity(
+    relationships: Mapping[str, tuple[DataFrame, DataFrame, str]], as_of: date, date_column: str = "recognized_date"
+) -> DataFrame:
+    """PASS or FAIL per declared relationship ``label -> (fact, dimension, key)`` over the last year."""
+    since = D.lit_date(D.shift_months(as_of, -12))
     rows = [
-        orphan_check(recent, dim, key).select(
+        orphan_check(fact.filter(F.col(date_column) >= since), dim, key).select(
             F.lit(label).alias("relationship"),
             F.col("orphan_records").alias("orphan_count"),
             F.when(F.col("orphan_records") == 0, "PASS")
             .otherwise(F.concat(F.lit("FAIL: "), F.col("orphan_records").cast("string"), F.lit(" orphans found")))
             .alias("test_result"),
         )
-        for label, (dim, key) in dims.items()
+        for label, (fact, dim, key) in relationships.items()
     ]
     return reduce(DataFrame.unionByName, rows)
 

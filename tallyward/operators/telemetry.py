@@ -190,8 +190,8 @@ def answer_inconsistencies(log: DataFrame, as_of: datetime, days: int = 30, k: i
     variants = (
         _since(log, "created_at", as_of, days)
         .select("normalized_question", "answer_summary", "metrics_used")
-        .distinct()
         .join(worst.select("normalized_question"), "normalized_question", "left_semi")
+        .distinct()
         .groupBy("normalized_question")
         .agg(
             F.array_sort(F.collect_set("answer_summary")).alias("all_answers"),
