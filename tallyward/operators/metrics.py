@@ -16,15 +16,17 @@ from ..functions import dates as D
 from ..functions import measures as M
 
 
-def profile_fact_grain(rev: DataFrame) -> DataFrame:
+def profile_fact_grain(rev: DataFrame, approx: bool = False) -> DataFrame:
     """Rows, distinct customers, products and months, and the date range of the fact table.
 
     One aggregate: each task reduces its rows to its own distinct values before anything is shuffled.
+    ``approx`` counts customers and products with a sketch of fixed size instead.
     """
+    distinct = F.approx_count_distinct if approx else F.count_distinct
     return rev.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        F.count_distinct("customer_id").alias("distinct_customers"),
-        F.count_distinct("product_id").alias("distinct_products"),
+        distinct("customer_id").alias("distinct_customers"),
+        distinct("product_id").alias("distinct_products"),
         F.min("recognized_date").alias("earliest_date"),
         F.max("recognized_date").alias("latest_date"),
         F.count_distinct(F.trunc("recognized_date", "month")).alias("months_of_data"),
