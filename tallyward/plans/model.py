@@ -109,7 +109,15 @@ class SemanticModel:
         joined = {d.table: self._relationship(d.table) for d in dims if d.table is not None}
         for rel in joined.values():
             keys[f"_k_{rel.fact_column}"] = F.col(rel.fact_column)
-        distinct = {f"_x_{p.name}": _value(p) for p in parts.values() if p.agg == "count_distinct"}
+        counted = {p.name: p for p in parts.values() if p.agg == "count_distinct"}
+        # A distinct count of the only join key: after the first aggregation each key is one row of
+        # its group, so a plain count suffices and saves a shuffle.
+        plain = {
+            name
+            for name, p in counted.items()
+            if p.where is None and len(counted) == 1 and [rel.fact_column for rel in joined.values()] == [p.expr]
+        }
+        distinct = {f"_x_{name}": _value(p) for name, p in counted.items() if name not in plain}
         partials = [a for p in parts.values() if p.agg != "count_distinct" for a in _partial(p)]
 
         if partials:
@@ -126,7 +134,10 @@ class SemanticModel:
         group = [F.col(f"_d_{d.name}").alias(d.name) for d in dims]
         if grain is not None:
             group.append(F.col("_period").alias(f"period_{grain}"))
-        out = cells.groupBy(*group).agg(*[_final(p).alias(f"_m_{p.name}") for p in parts.values()])
+        finals = [
+            (F.count(f"_k_{p.expr}") if name in plain else _final(p)).alias(f"_m_{name}") for name, p in parts.items()
+        ]
+        out = cells.groupBy(*group).agg(*finals)
         labels = [d.name for d in dims] + ([f"period_{grain}"] if grain else [])
         return out.select(*labels, *[_result(m).alias(m.name) for m in wanted])
 

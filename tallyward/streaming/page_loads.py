@@ -66,16 +66,27 @@ def start_page_load_stream(
     watermark: str = "10 minutes",
     trigger: dict | None = None,
     slow_ms: int = 3000,
+    files_per_day: int = 1,
 ) -> StreamingQuery:
     """Keeps the minute aggregates of an event stream up to date under ``out``.
 
     Update mode emits each window whenever it changes, so the newest minutes do not wait for the
-    watermark, which only bounds the state. Each micro-batch overwrites its own folder: a batch that
-    is repeated after a failure leaves no second copy. ``trigger`` defaults to one minute.
+    watermark, which only bounds the state. Output is partitioned by day, for pruning and retention,
+    and by micro-batch: a batch that is repeated after a failure replaces its own partitions. Each day
+    of a batch is written as ``files_per_day`` files; raise it with the number of pages. ``trigger``
+    defaults to one minute.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        (
+            batch.withColumn("metric_date", F.col("metric_minute").cast("date"))
+            .withColumn("batch_id", F.lit(batch_id))
+            .repartition("metric_date", F.pmod(F.hash("tenant_id", "page_name"), F.lit(files_per_day)))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("metric_date", "batch_id")
+            .parquet(out)
+        )
 
     return (
         _stream_aggregate(events, watermark, slow_ms)
@@ -88,11 +99,13 @@ def start_page_load_stream(
 
 
 def read_page_load_metrics(spark: SparkSession, out: str, as_of: datetime, hours: int = 24) -> DataFrame:
-    """The newest version of each minute of the last hours."""
+    """The newest version of each minute of the last hours; folders of older days are not read."""
+    since = as_of - timedelta(hours=hours)
     emitted = spark.read.parquet(out).withColumn("metric_minute", F.col("metric_minute").cast("timestamp_ntz"))
-    values = [c for c in emitted.columns if c not in (*KEYS, "batch_id")]
+    values = [c for c in emitted.columns if c not in (*KEYS, "batch_id", "metric_date")]
     return (
-        emitted.filter(F.col("metric_minute") >= D.lit_ts(as_of - timedelta(hours=hours)))
+        emitted.filter(F.col("metric_date") >= D.lit_date(since))
+        .filter(F.col("metric_minute") >= D.lit_ts(since))
         .groupBy(*KEYS)
         .agg(F.max_by(F.struct(*values), "batch_id").alias("_newest"))
         .select(*KEYS, "_newest.*")
