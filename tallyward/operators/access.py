@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from ..context import Principal, cut_lineage
 
+# --- Fixed values: messages of the metric interface, around the metric's name
+NOT_FOUND = ("Metric ", " is not available. Only certified metrics can be queried via API.")
+DENIED = "Your plan does not include access to metric: "
+
 
 def audit_access(tel: DataFrame, principal: Principal) -> DataFrame:
     """Auditors and admins see the whole log, others the rows logged under their current role."""
@@ -137,9 +141,13 @@ def query_metric_batch(requests: DataFrame, catalog: DataFrame, tenants: DataFra
         F.when(F.col("status") == 404, "METRIC_NOT_FOUND_OR_NOT_CERTIFIED")
         .when(F.col("status") == 403, "ACCESS_DENIED")
         .alias("error"),
+        F.when(F.col("status") == 404, F.concat(F.lit(NOT_FOUND[0]), "metric_name", F.lit(NOT_FOUND[1])))
+        .when(F.col("status") == 403, F.concat(F.lit(DENIED), "metric_name"))
+        .alias("message"),
         F.when(ok, F.col("_tier")).alias("tier"),
         F.when(ok, F.col("_rpm")).alias("rate_limit_rpm"),
         F.when(ok, "CERTIFIED").alias("certification"),
+        F.when(ok, "live").alias("freshness"),
     )
 
 

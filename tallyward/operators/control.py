@@ -19,6 +19,47 @@ from ..functions import measures as M
 from .governance import one_row
 from .lifecycle import update_where
 
+# --- Fixed values: name patterns, each for the whole name
+DOMAIN_NAME = "[A-Za-z][A-Za-z0-9_ ]+"
+METRIC_NAME = "[a-z][a-z0-9_]{2,50}"
+SEMANTIC_VIEW_FQN = ".*\\.[a-z]+_[a-z]+.*"
+AGENT_FQN = ".*[a-z]+_(agent|assistant)"
+
+# --- Fixed values: answers to refused requests, before the name or value they concern
+BAD_DOMAIN_NAME = (
+    "Domain name must start with a letter and contain only alphanumeric characters, spaces, or underscores."
+)
+DOMAIN_TAKEN = "Domain already registered: "
+BAD_METRIC_NAME = "Metric name must be lowercase, start with letter, 3-51 chars. Got: "
+NO_SUCH_DOMAIN = ("Domain not found or inactive: ", ". Register domain first.")
+METRIC_TAKEN = "Metric already exists in domain: "
+NO_SUCH_METRIC = "Metric not found: "
+LOW_QUALITY = ("Data quality score must be >= ", " for certification. Got: ")
+LOW_QUALITY_ADVICE = "Investigate and fix data quality issues before certifying."
+SELF_APPROVED = "Segregation of duties violation: approver cannot be the same as requester."
+SELF_APPROVED_ADVICE = "Ask your domain steward to approve."
+BLOCKED = "Validation gates failed. Fix issues before promoting."
+
+# --- Fixed values: gates (name, detail when passed, detail when failed)
+NAMING_GATE = ("Naming Convention", "Naming convention validated", "Asset name does not match pattern for ")
+OWNERSHIP_GATE = (
+    "Ownership Coverage",
+    "All metrics have owner and steward assigned",
+    "Some metrics missing owner_role or steward_role",
+)
+REGISTRATION_GATE = ("Metric Registration", "Metrics registered: ", "Metrics registered: ")
+CERTIFICATION_GATE = ("Certification Status", "All metrics certified or pending", " metrics not yet certified")
+
+# --- Fixed values: alert rules and the condition each one watches
+ALERT_CONDITIONS = [
+    ("Certification Below 80%", "certification"),
+    ("SEV-1 Incident Opened", "incident"),
+    ("Metric Expired - Action Required", "expired"),
+    ("Promotion Gate Failure", "blocked"),
+    ("Domain Review Overdue", "review"),
+    ("High Rollback Rate (>15%)", "rollback"),
+]
+
 
 @dataclass(frozen=True)
 class Outcome:
@@ -50,16 +91,13 @@ def onboard_domains(requests: DataFrame, dom: DataFrame, as_of: datetime) -> Out
     """New domains with their steward role, at FOUNDATION, first review in a month."""
     name = F.col("domain_name")
     known = dom.select(F.upper("domain_name").alias("_key")).distinct().withColumn("_known", F.lit(True))
-    exists = F.concat(F.lit("Domain already registered: "), name)
+    exists = F.concat(F.lit(DOMAIN_TAKEN), name)
     checked = (
         requests.withColumn("_key", F.upper(name))
         .join(known, "_key", "left")
         .withColumn(
             "error",
-            F.when(
-                ~M.whole_match(name, "[A-Za-z][A-Za-z0-9_ ]+"),
-                "Domain name must start with a letter and contain only alphanumeric characters, spaces, or underscores.",
-            ).when(F.col("_known"), exists),
+            F.when(~M.whole_match(name, DOMAIN_NAME), BAD_DOMAIN_NAME).when(F.col("_known"), exists),
         )
     )
     decided = _first_wins(checked, ["_key"]).withColumn(
@@ -109,20 +147,14 @@ def register_metrics(requests: DataFrame, dom: DataFrame, cat: DataFrame, as_of:
         F.col("domain_name").alias("domain"), F.col("steward_role").alias("_steward"), F.lit(True).alias("_active")
     )
     known = cat.select("domain", "metric_name").distinct().withColumn("_known", F.lit(True))
-    exists = F.concat(F.lit("Metric already exists in domain: "), domain, F.lit("."), name)
+    exists = F.concat(F.lit(METRIC_TAKEN), domain, F.lit("."), name)
     checked = (
         requests.join(active, "domain", "left")
         .join(known, ["domain", "metric_name"], "left")
         .withColumn(
             "error",
-            F.when(
-                ~M.whole_match(name, "[a-z][a-z0-9_]{2,50}"),
-                F.concat(F.lit("Metric name must be lowercase, start with letter, 3-51 chars. Got: "), name),
-            )
-            .when(
-                F.col("_active").isNull(),
-                F.concat(F.lit("Domain not found or inactive: "), domain, F.lit(". Register domain first.")),
-            )
+            F.when(~M.whole_match(name, METRIC_NAME), F.concat(F.lit(BAD_METRIC_NAME), name))
+            .when(F.col("_active").isNull(), F.concat(F.lit(NO_SUCH_DOMAIN[0]), domain, F.lit(NO_SUCH_DOMAIN[1])))
             .when(F.col("_known"), exists),
         )
     )
@@ -177,19 +209,16 @@ def certify_metrics(
         F.col("_status").isNotNull()
     )
     score = F.col("data_quality_score")
-    decided = requests.join(current, "metric_fqn", "left").withColumn(
-        "error",
-        F.when(F.col("_status").isNull(), F.concat(F.lit("Metric not found: "), "metric_fqn"))
-        .when(
-            score < threshold,
-            F.concat(
-                F.lit(f"Data quality score must be >= {threshold} for certification. Got: "), score.cast("string")
-            ),
-        )
-        .when(
-            F.col("approver") == F.col("requested_by"),
-            "Segregation of duties violation: approver cannot be the same as requester.",
-        ),
+    missing, poor = F.col("_status").isNull(), score < threshold
+    own = F.col("approver") == F.col("requested_by")
+    got = F.concat(F.lit(f"{LOW_QUALITY[0]}{threshold}{LOW_QUALITY[1]}"), score.cast("string"))
+    decided = requests.join(current, "metric_fqn", "left").withColumns(
+        {
+            "error": F.when(missing, F.concat(F.lit(NO_SUCH_METRIC), "metric_fqn"))
+            .when(poor, got)
+            .when(own, SELF_APPROVED),
+            "recommendation": F.when(~missing & poor, LOW_QUALITY_ADVICE).when(~missing & own, SELF_APPROVED_ADVICE),
+        }
     )
     ok = F.col("error").isNull()
     day = D.as_date(as_of)
@@ -199,6 +228,7 @@ def certify_metrics(
         "metric_fqn",
         F.when(ok, "SUCCESS").otherwise("FAILED").alias("status"),
         "error",
+        "recommendation",
         F.when(ok, due).alias("recertification_due"),
         F.when(ok, score).alias("data_quality_score"),
     )
@@ -255,8 +285,8 @@ def run_validation_suite(assets: DataFrame, cat: DataFrame) -> DataFrame:
         return F.coalesce(F.col(column), F.lit(0))
 
     is_view = F.col("asset_type") == "semantic_view"
-    named = (is_view & M.whole_match(F.col("asset_fqn"), ".*\\.[a-z]+_[a-z]+.*")) | (
-        (F.col("asset_type") == "agent") & M.whole_match(F.col("asset_fqn"), ".*[a-z]+_(agent|assistant)")
+    named = (is_view & M.whole_match(F.col("asset_fqn"), SEMANTIC_VIEW_FQN)) | (
+        (F.col("asset_type") == "agent") & M.whole_match(F.col("asset_fqn"), AGENT_FQN)
     )
     owned = count("_unowned") == 0
     registered = (count("_metrics") > 0) | ~is_view
@@ -270,28 +300,14 @@ def run_validation_suite(assets: DataFrame, cat: DataFrame) -> DataFrame:
             F.when(passed, good).otherwise(bad).alias("detail"),
         )
 
-    number = F.concat(F.lit("Metrics registered: "), count("_metrics").cast("string"))
+    number = F.concat(F.lit(REGISTRATION_GATE[1]), count("_metrics").cast("string"))
     always = [
-        gate(
-            "Naming Convention",
-            named,
-            F.lit("Naming convention validated"),
-            F.concat(F.lit("Asset name does not match pattern for "), "asset_type"),
-        ),
-        gate(
-            "Ownership Coverage",
-            owned,
-            F.lit("All metrics have owner and steward assigned"),
-            F.lit("Some metrics missing owner_role or steward_role"),
-        ),
-        gate("Metric Registration", registered, number, number),
+        gate(NAMING_GATE[0], named, F.lit(NAMING_GATE[1]), F.concat(F.lit(NAMING_GATE[2]), "asset_type")),
+        gate(OWNERSHIP_GATE[0], owned, F.lit(OWNERSHIP_GATE[1]), F.lit(OWNERSHIP_GATE[2])),
+        gate(REGISTRATION_GATE[0], registered, number, number),
     ]
-    certification = gate(
-        "Certification Status",
-        certified,
-        F.lit("All metrics certified or pending"),
-        F.concat(count("_uncertified").cast("string"), F.lit(" metrics not yet certified")),
-    )
+    left = F.concat(count("_uncertified").cast("string"), F.lit(CERTIFICATION_GATE[2]))
+    certification = gate(CERTIFICATION_GATE[0], certified, F.lit(CERTIFICATION_GATE[1]), left)
     gates = F.when(production, F.array(*always, certification)).otherwise(F.array(*always))
     passed = F.forall("results", lambda g: g["status"] == "PASS")
     return (
@@ -319,7 +335,7 @@ def promote_assets(requests: DataFrame, cat: DataFrame, as_of: datetime) -> Outc
         "request_id",
         *keys,
         F.when(passed, "SUCCESS").otherwise("BLOCKED").alias("status"),
-        F.when(~passed, "Validation gates failed. Fix issues before promoting.").alias("reason"),
+        F.when(~passed, BLOCKED).alias("reason"),
         F.when(passed, F.col("git_commit_sha")).alias("git_sha"),
     )
     target = F.col("target_environment")
@@ -365,17 +381,9 @@ def alert_conditions(cat: DataFrame, dom: DataFrame, inc: DataFrame, log: DataFr
             F.bool_or(F.col("next_review_due") < D.lit_date(D.as_date(as_of))).alias("review")
         ),
     ]
-    rules = [
-        ("Certification Below 80%", "certification"),
-        ("SEV-1 Incident Opened", "incident"),
-        ("Metric Expired - Action Required", "expired"),
-        ("Promotion Gate Failure", "blocked"),
-        ("Domain Review Overdue", "review"),
-        ("High Rollback Rate (>15%)", "rollback"),
-    ]
     entries = [
         F.struct(F.lit(label).alias("rule_name"), F.coalesce(F.col(column), F.lit(False)).alias("condition_met"))
-        for label, column in rules
+        for label, column in ALERT_CONDITIONS
     ]
     return one_row(*facts).select(F.inline(F.array(*entries)))
 

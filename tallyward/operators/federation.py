@@ -25,8 +25,11 @@ def glossary_latest(versions: DataFrame) -> DataFrame:
         .agg(F.max("version_id").alias("supersedes_version"))
     )
     return latest.join(older, "term", "left").select(
-        "term", F.col("_latest.version_id").alias("version_id"), F.col("_latest.canonical_definition").alias("canonical_definition"),
-        "supersedes_version", "versions",
+        "term",
+        F.col("_latest.version_id").alias("version_id"),
+        F.col("_latest.canonical_definition").alias("canonical_definition"),
+        "supersedes_version",
+        "versions",
     )
 
 
@@ -47,6 +50,7 @@ def spoke_resolve_metrics(requests: DataFrame, cat: DataFrame) -> DataFrame:
         F.when(found, "RESOLVED").otherwise("NOT_FOUND").alias("status"),
         F.lit("hub_direct").alias("source"),
         F.when(found, 0).alias("replica_lag_seconds"),
+        F.when(found, "CERTIFIED").alias("certification_status"),
         *[F.col(f"_definition.{f}").alias(f) for f in fields],
     )
 

@@ -177,6 +177,7 @@ def nrr_by_segment(rev: DataFrame, cust: DataFrame, as_of: date) -> DataFrame:
     return by_segment.withColumn("nrr_pct", F.round(share, 1))
 
 
+# --- Fixed values: health tiers by upper bound of the score; the rest is Thriving
 _HEALTH_STEPS = [(20, "Critical"), (40, "At Risk"), (70, "Healthy")]
 
 

@@ -15,6 +15,16 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import measures as M
 
+# --- Fixed values: indicator bands, best first, and what is left below them
+GROUNDING_BANDS = [(95, "HEALTHY"), (85, "WARNING")]
+CONSISTENCY_BANDS = [(99, "HEALTHY"), (95, "WARNING")]
+BELOW_BANDS = "CRITICAL"
+ESCALATION_BAND = (2, 10)
+ESCALATION_STATES = ("HEALTHY", "WARNING: Too permissive?", "CRITICAL: Too many escalations")
+DRIFT_BANDS = [(0.1, "HIGH DRIFT - INVESTIGATE"), (0.05, "MODERATE DRIFT - MONITOR")]
+NO_DRIFT = "STABLE"
+LOW_CONFIDENCE, ESCALATED = "Low Confidence Questions", "Escalation Patterns"
+
 
 def _since(df: DataFrame, column: str, as_of: datetime, days: int) -> DataFrame:
     return df.filter(F.col(column) >= D.lit_ts(D.shift_days(as_of, -days)))
@@ -78,7 +88,7 @@ def grounding_rate(log: DataFrame, as_of: datetime, days: int = 7) -> DataFrame:
     counts = _since(log, "created_at", as_of, days).agg(
         M.count_when(F.array_size("metrics_used") > 0).alias("grounded"), _rows().alias("total")
     )
-    status = M.bands(F.col("pct"), [(95, "HEALTHY"), (85, "WARNING")], "CRITICAL")
+    status = M.bands(F.col("pct"), GROUNDING_BANDS, BELOW_BANDS)
     return _kpi("Grounding Rate", counts, "grounded", "total", "pct", status)
 
 
@@ -101,7 +111,7 @@ def consistency_score(log: DataFrame, as_of: datetime, days: int = 30, minimum_a
     counts = by_question.agg(
         M.count_when(F.col("distinct_answers") == 1).alias("consistent"), _rows().alias("total_questions")
     )
-    status = M.bands(F.col("consistency_pct"), [(99, "HEALTHY"), (95, "WARNING")], "CRITICAL")
+    status = M.bands(F.col("consistency_pct"), CONSISTENCY_BANDS, BELOW_BANDS)
     return _kpi("Consistency Score", counts, "consistent", "total_questions", "consistency_pct", status)
 
 
@@ -110,11 +120,8 @@ def escalation_rate(log: DataFrame, as_of: datetime, days: int = 7) -> DataFrame
         M.count_when(F.col("escalated")).alias("escalated"), _rows().alias("total")
     )
     rate = F.col("escalation_pct")
-    status = (
-        F.when(rate.between(2, 10), "HEALTHY")
-        .when(rate < 2, "WARNING: Too permissive?")
-        .otherwise("CRITICAL: Too many escalations")
-    )
+    inside, low, high = ESCALATION_STATES
+    status = F.when(rate.between(*ESCALATION_BAND), inside).when(rate < ESCALATION_BAND[0], low).otherwise(high)
     return _kpi("Escalation Rate", counts, "escalated", "total", "escalation_pct", status)
 
 
@@ -158,11 +165,7 @@ def confidence_drift(tel: DataFrame, as_of: datetime, days: int = 30, minimum_da
         )
         .filter(F.col("days_active") >= minimum_days)
     )
-    drift = (
-        F.when(F.col("volatility") > 0.1, "HIGH DRIFT - INVESTIGATE")
-        .when(F.col("volatility") > 0.05, "MODERATE DRIFT - MONITOR")
-        .otherwise("STABLE")
-    )
+    drift = F.coalesce(*[F.when(F.col("volatility") > bound, label) for bound, label in DRIFT_BANDS], F.lit(NO_DRIFT))
     return stats.orderBy(F.desc("volatility"), "agent_name", "resolved_metric").select(
         "agent_name",
         "resolved_metric",
@@ -222,7 +225,7 @@ def weekly_signals(log: DataFrame, escalations: DataFrame, as_of: datetime, k: i
     )
     percent = M.mean(F.col("confidence") * 100, F.col("frequency"), 0).cast("bigint").cast("string")
     questions = low.select(
-        F.lit("Low Confidence Questions").alias("improvement_type"),
+        F.lit(LOW_CONFIDENCE).alias("improvement_type"),
         F.col("original_question").alias("topic"),
         "frequency",
         F.concat(percent, F.lit("% confidence")).alias("severity"),
@@ -233,14 +236,14 @@ def weekly_signals(log: DataFrame, escalations: DataFrame, as_of: datetime, k: i
         .agg(_rows().alias("frequency"))
         .filter(F.col("frequency") >= 2)
         .select(
-            F.lit("Escalation Patterns").alias("improvement_type"),
+            F.lit(ESCALATED).alias("improvement_type"),
             F.col("escalation_reason").alias("topic"),
             "frequency",
             F.concat(F.lit("Escalated "), F.col("frequency").cast("string"), F.lit(" times")).alias("severity"),
         )
     )
     top = questions.unionByName(topics).orderBy(F.desc("frequency"), "improvement_type", "topic").limit(k)
-    wanted = top.filter(F.col("improvement_type") == "Escalation Patterns").select(
+    wanted = top.filter(F.col("improvement_type") == ESCALATED).select(
         F.col("topic").alias("escalation_reason")
     )
     samples = _samples(
@@ -248,10 +251,10 @@ def weekly_signals(log: DataFrame, escalations: DataFrame, as_of: datetime, k: i
         ["escalation_reason"],
         F.substring("user_question", 1, 60),
     ).select(
-        F.lit("Escalation Patterns").alias("improvement_type"), F.col("escalation_reason").alias("topic"), "sample_questions"
+        F.lit(ESCALATED).alias("improvement_type"), F.col("escalation_reason").alias("topic"), "sample_questions"
     )
     detail = F.when(
-        F.col("improvement_type") == "Escalation Patterns", F.concat("topic", F.lit(": "), "sample_questions")
+        F.col("improvement_type") == ESCALATED, F.concat("topic", F.lit(": "), "sample_questions")
     ).otherwise(F.col("topic"))
     return (
         top.join(samples, ["improvement_type", "topic"], "left")

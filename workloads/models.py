@@ -99,14 +99,14 @@ ORACLE = {
     "model_finance_revenue": f"""
 SELECT segment, region, {_FISCAL.format(c="recognized_date")} AS period_quarter,
        CAST(sum(amount_usd) AS DOUBLE) AS total_revenue,
-       CAST(sum(CASE WHEN is_recurring THEN amount_usd ELSE 0 END) AS DOUBLE) AS recurring_revenue,
+       CAST(coalesce(sum(amount_usd) FILTER (WHERE is_recurring), 0) AS DOUBLE) AS recurring_revenue,
        count(DISTINCT r.customer_id) AS customer_count,
        CAST(sum(amount_usd) AS DOUBLE) / count(DISTINCT r.customer_id) AS arpc
 FROM fct_revenue r JOIN dim_customer c ON r.customer_id = c.customer_id GROUP BY 1, 2, 3""",
     "model_finance_revenue_product": """
 SELECT product_line, revenue_type, CAST(date_trunc('month', recognized_date) AS DATE) AS period_month,
        CAST(sum(amount_usd) AS DOUBLE) AS total_revenue,
-       CAST(sum(CASE WHEN revenue_type = 'professional_services' THEN amount_usd ELSE 0 END) AS DOUBLE) AS services_revenue,
+       CAST(coalesce(sum(amount_usd) FILTER (WHERE revenue_type = 'professional_services'), 0) AS DOUBLE) AS services_revenue,
        count(amount_usd) AS event_count
 FROM fct_revenue r JOIN dim_product p ON r.product_id = p.product_id
 WHERE recognized_date >= DATE '2000-01-01' AND product_line <> 'PROMO' GROUP BY 1, 2, 3""",
@@ -120,7 +120,7 @@ FROM revenue_data GROUP BY 1, 2""",
     "model_bookings_metrics": """
 SELECT rep_name, CAST(date_trunc('quarter', deal_date) AS DATE) AS period_quarter,
        CAST(sum(total_bookings) AS DOUBLE) AS total_bookings, CAST(sum(pipeline_value) AS DOUBLE) AS pipeline_value,
-       CAST(count(CASE WHEN stage = 'closed_won' THEN 1 END) AS DOUBLE) / count(*) AS win_rate,
+       CAST(count(*) FILTER (WHERE stage = 'closed_won') AS DOUBLE) / count(*) AS win_rate,
        CAST(sum(total_bookings) AS DOUBLE) / count(*) AS deal_size
 FROM customer_orders GROUP BY 1, 2""",
     "model_customer_health": """
@@ -128,7 +128,7 @@ SELECT segment, CAST(date_trunc('month', last_activity_date) AS DATE) AS period_
        CAST(sum(health_score) AS DOUBLE) / count(health_score) AS health_score,
        CAST(sum(nps_score) AS DOUBLE) / count(nps_score) AS nps_score,
        CAST(sum(churn_risk) AS DOUBLE) / count(churn_risk) AS churn_risk,
-       count(DISTINCT CASE WHEN churn_risk > 0.7 THEN customer_id END) AS at_risk_customers
+       count(DISTINCT customer_id) FILTER (WHERE churn_risk > 0.7) AS at_risk_customers
 FROM customer_health_data GROUP BY 1, 2""",
     "model_support_metrics": """
 SELECT priority, category, CAST(date_trunc('week', created_date) AS DATE) AS period_week,

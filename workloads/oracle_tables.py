@@ -31,7 +31,7 @@ SELECT concat('C', c_custkey) AS customer_id, DATE '2001-06-01' AS usage_month,
 FROM customer""",
     "agg_monthly_churn": """
 SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS churn_month,
-       count(DISTINCT CASE WHEN o_orderstatus = 'P' THEN o_custkey END) AS churned_customer_count,
+       count(DISTINCT o_custkey) FILTER (WHERE o_orderstatus = 'P') AS churned_customer_count,
        count(DISTINCT o_custkey) AS active_customers_start_of_month
 FROM orders GROUP BY 1""",
     "fct_costs": """
@@ -40,7 +40,7 @@ SELECT CAST(l_shipdate AS DATE) AS cost_date, p_type AS cost_category,
 FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "monthly_metrics": """
 SELECT CAST(date_trunc('month', recognized_date) AS DATE) AS metric_month,
-       sum(CASE WHEN is_recurring THEN amount_usd ELSE 0 END) * 12
+       coalesce(sum(amount_usd) FILTER (WHERE is_recurring), 0) * 12
          + 5 * (month(min(recognized_date)) % 2) AS arr_reported
 FROM fct_revenue GROUP BY 1""",
     "metric_snapshots": """
@@ -48,7 +48,7 @@ SELECT 'finance_revenue' AS semantic_view, s.snapshot_date, m.month,
        m.total + s.shift + CASE WHEN s.shift = 0 AND m.month = DATE '2001-03-01' THEN 1 ELSE 0 END AS total_revenue,
        m.recurring + s.shift AS recurring_revenue
 FROM (SELECT CAST(date_trunc('month', recognized_date) AS DATE) AS month, sum(amount_usd) AS total,
-             sum(CASE WHEN is_recurring THEN amount_usd ELSE 0 END) AS recurring
+             coalesce(sum(amount_usd) FILTER (WHERE is_recurring), 0) AS recurring
       FROM fct_revenue GROUP BY 1) m,
      (VALUES (DATE '2001-06-15', 7), (DATE '2001-07-14', 0)) s(snapshot_date, shift)""",
     "semantic_view_consumers": """

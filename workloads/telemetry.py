@@ -41,8 +41,8 @@ QUERIES = {
 
 _WEEK = "TIMESTAMP '2024-01-24 00:00:00'"
 _MONTH = "TIMESTAMP '2024-01-01 00:00:00'"
-_GROUNDED = "count(CASE WHEN len(metrics_used) > 0 THEN 1 END)"
-_ESCALATED = "count(CASE WHEN escalated THEN 1 END)"
+_GROUNDED = "count(*) FILTER (WHERE len(metrics_used) > 0)"
+_ESCALATED = "count(*) FILTER (WHERE escalated)"
 _CENT = "CAST({} * 100 AS HUGEINT)"
 
 
@@ -58,16 +58,16 @@ _LOG_COLUMNS = """interaction_id, "timestamp", agent_name, user_id, user_role, r
 ORACLE = {
     "agent_health_dashboard": f"""
 SELECT agent_name, count(*) AS total_interactions,
-       {share("count(CASE WHEN grounded THEN 1 END)", "count(*)")} AS grounding_rate_pct,
+       {share("count(*) FILTER (WHERE grounded)", "count(*)")} AS grounding_rate_pct,
        {rounded(_CENT.format("sum(confidence_score)"), "count(confidence_score)")} AS avg_confidence_pct,
        {share(_ESCALATED, "count(*)")} AS escalation_rate_pct,
        {rounded("sum(response_time_ms)", "count(*)", 0)} AS avg_response_ms,
        count(DISTINCT user_id) AS unique_users
 FROM answer_log WHERE "timestamp" >= {_WEEK} GROUP BY 1""",
     "test_pass_rate": f"""
-SELECT test_category, count(*) AS total_tests, count(CASE WHEN last_result = 'PASS' THEN 1 END) AS passed,
-       count(CASE WHEN last_result = 'FAIL' THEN 1 END) AS failed,
-       {share("count(CASE WHEN last_result = 'PASS' THEN 1 END)", "count(*)")} AS pass_rate
+SELECT test_category, count(*) AS total_tests, count(*) FILTER (WHERE last_result = 'PASS') AS passed,
+       count(*) FILTER (WHERE last_result = 'FAIL') AS failed,
+       {share("count(*) FILTER (WHERE last_result = 'PASS')", "count(*)")} AS pass_rate
 FROM answer_tests WHERE is_active GROUP BY 1""",
     "grounding_rate": f"""
 SELECT 'Grounding Rate' AS kpi, grounded, total, pct,
@@ -77,7 +77,7 @@ FROM (SELECT {_GROUNDED} AS grounded, count(*) AS total, {share(_GROUNDED, "coun
     "consistency_score": f"""
 WITH q AS (SELECT normalized_question, count(DISTINCT answer_summary) AS a FROM governance_log
            WHERE created_at >= {_MONTH} AND normalized_question IS NOT NULL GROUP BY 1 HAVING count(*) >= 3),
-     k AS (SELECT count(CASE WHEN a = 1 THEN 1 END) AS consistent, count(*) AS total_questions FROM q),
+     k AS (SELECT count(*) FILTER (WHERE a = 1) AS consistent, count(*) AS total_questions FROM q),
      p AS (SELECT *, {share("consistent", "total_questions")} AS consistency_pct FROM k)
 SELECT 'Consistency Score' AS kpi, consistent, total_questions, consistency_pct,
        CASE WHEN consistency_pct >= 99 THEN 'HEALTHY' WHEN consistency_pct >= 95 THEN 'WARNING' ELSE 'CRITICAL' END AS status
@@ -91,7 +91,7 @@ FROM (SELECT {_ESCALATED} AS escalated, count(*) AS total, {share(_ESCALATED, "c
     "confidence_by_agent": f"""
 SELECT agent_name, {rounded(_CENT.format("sum(resolution_confidence)"), "count(resolution_confidence)")} AS avg_confidence_pct,
        round(quantile_cont(CAST(resolution_confidence AS DOUBLE), 0.1) * 100, 1) AS p10_confidence,
-       count(*) AS query_count, count(CASE WHEN resolution_confidence < 0.6 THEN 1 END) AS very_low_confidence_count
+       count(*) AS query_count, count(*) FILTER (WHERE resolution_confidence < 0.6) AS very_low_confidence_count
 FROM governance_log WHERE created_at >= {_WEEK} GROUP BY 1""",
     "confidence_drift": f"""
 WITH d AS (SELECT CAST("timestamp" AS DATE) AS day, agent_name, resolved_metric,
@@ -123,16 +123,16 @@ WITH u AS (SELECT 'Low Confidence Questions' AS improvement_type, original_quest
 SELECT improvement_type, detail, frequency, severity FROM u ORDER BY frequency DESC, improvement_type, topic LIMIT 20""",
     "escalation_improvements": """
 SELECT agent_name, escalation_reason, escalation_gate, count(*) AS occurrences,
-       count(CASE WHEN led_to_new_metric THEN 1 END) AS led_to_improvements
+       count(*) FILTER (WHERE led_to_new_metric) AS led_to_improvements
 FROM escalations WHERE created_at >= TIMESTAMP '2023-12-31 00:00:00' GROUP BY 1, 2, 3
 ORDER BY occurrences DESC, agent_name, escalation_reason, escalation_gate LIMIT 20""",
     "security_compliance": f"""
 SELECT agent_name, user_role, count(*) AS total_queries, count(DISTINCT user_id) AS unique_users,
-       count(CASE WHEN len(rls_policies_applied) > 0 THEN 1 END) AS rls_enforced_count,
-       count(CASE WHEN len(masking_policies_applied) > 0 THEN 1 END) AS masking_enforced_count,
-       count(CASE WHEN NOT provenance_disclosed THEN 1 END) AS provenance_gaps
+       count(*) FILTER (WHERE len(rls_policies_applied) > 0) AS rls_enforced_count,
+       count(*) FILTER (WHERE len(masking_policies_applied) > 0) AS masking_enforced_count,
+       count(*) FILTER (WHERE NOT provenance_disclosed) AS provenance_gaps
 FROM governance_log WHERE created_at >= {_WEEK} GROUP BY 1, 2
-HAVING count(CASE WHEN NOT provenance_disclosed THEN 1 END) > 0 OR count(CASE WHEN len(rls_policies_applied) > 0 THEN 1 END) = 0""",
+HAVING count(*) FILTER (WHERE NOT provenance_disclosed) > 0 OR count(*) FILTER (WHERE len(rls_policies_applied) > 0) = 0""",
     "grounding_verification": f"""
 SELECT agent_name, resolved_semantic_view, resolved_metric, count(*) AS usage_count,
        {rounded(_CENT.format("sum(confidence_score)"), "count(confidence_score) * 100", 3)} AS avg_confidence
@@ -142,7 +142,7 @@ ORDER BY usage_count DESC, agent_name, resolved_semantic_view, resolved_metric L
 SELECT agent_name, array_to_string(metrics_used, '|') AS metrics_used, count(*) AS query_count,
        CAST(sum(resolution_confidence) AS DOUBLE) / count(*) AS avg_confidence,
        CAST(sum(execution_time_ms) AS DOUBLE) / count(*) AS avg_execution_ms,
-       count(CASE WHEN disambiguation_applied THEN 1 END) AS disambiguation_count, {_ESCALATED} AS escalation_count
+       count(*) FILTER (WHERE disambiguation_applied) AS disambiguation_count, {_ESCALATED} AS escalation_count
 FROM governance_log WHERE created_at >= {_WEEK} GROUP BY 1, 2 ORDER BY query_count DESC, agent_name, metrics_used LIMIT 30""",
     "escalation_analysis": f"""
 SELECT agent_name, escalation_reason, count(*) AS escalation_count,
@@ -154,8 +154,8 @@ SELECT agent_name, test_category, expected_behavior, count(*) AS test_count FROM
     "test_inventory_governance": """
 SELECT agent_name, test_category, expected_behavior, count(*) AS total_tests FROM answer_tests GROUP BY 1, 2, 3""",
     "test_run_status": """
-SELECT agent_name, test_category, count(*) AS test_count, count(CASE WHEN last_result = 'PASS' THEN 1 END) AS passed,
-       count(CASE WHEN last_result = 'FAIL' THEN 1 END) AS failed, count(CASE WHEN last_result IS NULL THEN 1 END) AS not_yet_run
+SELECT agent_name, test_category, count(*) AS test_count, count(*) FILTER (WHERE last_result = 'PASS') AS passed,
+       count(*) FILTER (WHERE last_result = 'FAIL') AS failed, count(*) FILTER (WHERE last_result IS NULL) AS not_yet_run
 FROM answer_tests WHERE is_active GROUP BY 1, 2""",
     "bind_questions": f"""
 WITH rules(agent, phrase, metric, v) AS (VALUES {_RULES}),

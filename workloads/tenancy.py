@@ -143,7 +143,7 @@ SELECT date_trunc('minute', event_timestamp) AS metric_minute, tenant_id, page_n
        CAST(sum(load_time_ms) AS DOUBLE) / count(*) AS avg_load_time_ms,
        round(quantile_cont(load_time_ms, 0.95), 3) AS p95_load_time_ms,
        round(quantile_cont(load_time_ms, 0.99), 3) AS p99_load_time_ms,
-       count(CASE WHEN load_time_ms > 3000 THEN 1 END) AS slow_loads
+       count(*) FILTER (WHERE load_time_ms > 3000) AS slow_loads
 FROM page_events WHERE event_timestamp >= {since} GROUP BY 1, 2, 3"""
 
 
@@ -196,7 +196,9 @@ WITH {_DECIDE}
 SELECT request_id, metric_name AS metric, tenant_id, CAST(status AS BIGINT) AS status,
        CASE status WHEN 404 THEN 'METRIC_NOT_FOUND_OR_NOT_CERTIFIED' WHEN 403 THEN 'ACCESS_DENIED' END AS error,
        CASE WHEN status = 200 THEN tier END AS tier, CAST(CASE WHEN status = 200 THEN rpm END AS BIGINT) AS rate_limit_rpm,
-       CASE WHEN status = 200 THEN 'CERTIFIED' END AS certification
+       CASE WHEN status = 200 THEN 'CERTIFIED' END AS certification, CASE WHEN status = 200 THEN 'live' END AS freshness,
+       CASE status WHEN 404 THEN 'Metric ' || metric_name || ' is not available. Only certified metrics can be queried via API.'
+                   WHEN 403 THEN 'Your plan does not include access to metric: ' || metric_name END AS message
 FROM x""",
     "query_metric_log": f"""
 WITH {_DECIDE}
@@ -261,7 +263,7 @@ SELECT term, version_id, canonical_definition, supersedes_version, versions FROM
     "spoke_resolve_metrics": """
 SELECT r.request_id, r.metric_name, CASE WHEN c.metric_name IS NULL THEN 'NOT_FOUND' ELSE 'RESOLVED' END AS status,
        'hub_direct' AS source, CAST(CASE WHEN c.metric_name IS NOT NULL THEN 0 END AS BIGINT) AS replica_lag_seconds,
-       c.domain, c.business_definition, c.semantic_view_fqn, c.certification_date, CAST(c.data_quality_score AS DOUBLE) AS data_quality_score
+       c.certification_status, c.domain, c.business_definition, c.semantic_view_fqn, c.certification_date, CAST(c.data_quality_score AS DOUBLE) AS data_quality_score
 FROM resolve_requests r LEFT JOIN metric_catalog c ON c.metric_name = r.metric_name AND c.certification_status = 'CERTIFIED'""",
     "glossary_sync": """
 WITH h AS (SELECT max(version_id) AS hub_version FROM glossary_versions)
