@@ -61,8 +61,12 @@ def view_usage(views: DataFrame, history: DataFrame, as_of: datetime, days: int
     names = views.select(F.lower("semantic_view_fqn").alias("name")).filter(F.length("name") > 0).distinct()
     blank = F.col("name").rlike("\\s")
 
-    words = recent.select(
-        "query_id", "user_name", "start_time", F.explode(F.array_distinct(F.split("whole", "\\s+"))).alias("text")
+    # Words shorter than every name cannot contain one: keywords, which every query repeats, never
+    # reach a shuffle.
+    shortest = names.agg(F.min(F.length("name"))).scalar()
+    candidates = F.filter(F.array_distinct(F.split("whole", "\\s+")), lambda w: F.length(w) >= F.col("_shortest"))
+    words = recent.withColumn("_shortest", shortest).select(
+        "query_id", "user_name", "start_time", F.explode(candidates).alias("text")
     )
     hits = words.join(_windows(words.select("text").distinct(), names.filter(~blank)), "text")
     if not names.filter(blank).isEmpty():
