@@ -624,7 +624,8 @@ def page_events(spark: SparkSession, folder: str) -> DataFrame:
 def page_event_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The same rows as an unbounded file stream. Event time must be a zoned timestamp."""
     schema = table(spark, folder, "events").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").parquet(folder)
+    # A pattern, because a stream accepts a single file only through one.
+    raw = spark.readStream.schema(schema).parquet(f"{folder}/events.parquet*")
     return raw.selectExpr(*PAGE_EVENT_COLUMNS).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
 
 

@@ -12,6 +12,10 @@ from ..functions import dates as D
 from ..functions import measures as M
 
 KEYS = ["metric_minute", "tenant_id", "page_name"]
+_STORED = (
+    "metric_minute timestamp, tenant_id string, page_name string, page_views bigint, avg_load_time_ms double,"
+    " p95_load_time_ms double, p99_load_time_ms double, slow_loads bigint, metric_date date, batch_id bigint"
+)
 
 
 def page_load_metrics(events: DataFrame, as_of: datetime, hours: int = 24, slow_ms: int = 3000) -> DataFrame:
@@ -88,6 +92,8 @@ def start_page_load_stream(
             .parquet(out)
         )
 
+    # The table exists from the start, so readers need not wait for the first batch.
+    events.sparkSession.createDataFrame([], _STORED).write.mode("append").partitionBy("metric_date", "batch_id").parquet(out)
     return (
         _stream_aggregate(events, watermark, slow_ms)
         .writeStream.outputMode("update")
@@ -101,7 +107,7 @@ def start_page_load_stream(
 def read_page_load_metrics(spark: SparkSession, out: str, as_of: datetime, hours: int = 24) -> DataFrame:
     """The newest version of each minute of the last hours; folders of older days are not read."""
     since = as_of - timedelta(hours=hours)
-    emitted = spark.read.parquet(out).withColumn("metric_minute", F.col("metric_minute").cast("timestamp_ntz"))
+    emitted = spark.read.schema(_STORED).parquet(out).withColumn("metric_minute", F.col("metric_minute").cast("timestamp_ntz"))
     values = [c for c in emitted.columns if c not in (*KEYS, "batch_id", "metric_date")]
     return (
         emitted.filter(F.col("metric_date") >= D.lit_date(since))

@@ -47,6 +47,12 @@ def test_rerunning_without_new_files_changes_nothing(spark, sf, folder):
     assert _as_rows(page_loads.read_page_load_metrics(spark, f"{folder}/out", NOW)) == before
 
 
+def test_a_stream_without_rows_reads_empty(spark, sf, folder):
+    t.page_events(spark, sf).limit(0).write.parquet(f"{folder}/in")
+    _stream(spark, f"{folder}/in", folder).awaitTermination()
+    assert page_loads.read_page_load_metrics(spark, f"{folder}/out", NOW).isEmpty()
+
+
 def test_partition_refresh_equals_the_full_query(spark, sf, folder):
     rev, cust, out = t.fct_revenue(spark, sf), t.dim_customer(spark, sf), f"{folder}/cells"
     revenue_refresh.refresh_revenue_cells(rev, cust, out, date(2001, 5, 20))
