@@ -71,13 +71,9 @@ def oracle(body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
-def rounded(numerator: str, denominator: str, digits: int = 1, scale: int = 0) -> str:
-    """Exact half-up ROUND(numerator / denominator, digits) of whole numbers, as a double.
-
-    ``scale`` first turns a numerator with that many decimals into a whole number.
-    """
-    num = f"CAST(({numerator}) * {10 ** scale} AS HUGEINT)" if scale else f"CAST({numerator} AS HUGEINT)"
-    den = f"(NULLIF(CAST({denominator} AS HUGEINT), 0) * {10 ** scale})" if scale else f"NULLIF(CAST({denominator} AS HUGEINT), 0)"
+def rounded(numerator: str, denominator: str, digits: int = 1) -> str:
+    """Exact half-up ROUND(numerator / denominator, digits) of two whole numbers, as a double."""
+    num, den = f"CAST({numerator} AS HUGEINT)", f"NULLIF(CAST({denominator} AS HUGEINT), 0)"
     top = f"(abs({num}) * {2 * 10 ** digits} + {den})"
     return f"(sign({num}) * CAST({top} // (2 * {den}) AS DOUBLE) / {10 ** digits})"
 
