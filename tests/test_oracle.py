@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from workloads import registry
 from compare import compare, duck
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -4,11 +4,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from workloads import registry
 from plan_audit import physical_plan
 
 WRITERS = {"page_load_metrics_stream", "daily_revenue_metrics_incremental", "effective_roles"}
-PLAIN = sorted(n for n in entry.queries() if n not in WRITERS and not n.startswith("governance_daily"))
+PLAIN = sorted(n for n in registry.queries() if n not in WRITERS and not n.startswith("governance_daily"))
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +18,7 @@ def plans(spark, sf):
     saved = {k: spark.conf.get(k) for k in keys}
     for k, v in keys.items():
         spark.conf.set(k, v)
-    queries = entry.queries()
+    queries = registry.queries()
     yield {name: physical_plan(queries[name](spark, sf)) for name in PLAIN}
     for k, v in saved.items():
         spark.conf.set(k, v)
