@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, simhash
+from tallyward.context import scratch_path
+
+from . import chat, decontaminate, exact_dedup, packing, secret_scan, simhash, warc
 from .common import table
 
 Q, SQL = {}, {}
@@ -45,10 +47,46 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS te
 """
 
 
+def op5_pack(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, folder, "pages"), path)
+    # A response counts as read back only if its digest is that of the bytes read; a revisit has the headers alone.
+    intact = F.col("verified") | (F.col("record_type") == "revisit")
+    records = warc.read_archives(spark, path, record_type=["response", "revisit"])
+    return records.select(
+        F.col("record_id").cast("long").alias("page_id"),
+        F.coalesce(F.length("payload").cast("long"), F.col("payload_length")).alias("payload_bytes"),
+        F.when(intact, F.col("payload_digest")).otherwise(F.raise_error(F.lit("a payload differs from its digest"))).alias("payload_digest"),
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+SQL["op7_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS n, sha1(html) AS sha, max(page_id) OVER (PARTITION BY html) AS last_id FROM p),
+g AS (SELECT *, unnest(generate_series(0, 3)) AS i FROM d),
+c AS (SELECT page_id, n, last_id, i, CAST('0x' || substr(sha, CAST(10 * i + 1 AS BIGINT), 10) AS UBIGINT) AS x FROM g)
+SELECT page_id, n AS payload_bytes,
+       string_agg((SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((x >> (35 - 5 * k)) & 31 AS BIGINT) + 1, 1), '' ORDER BY k) FROM range(8) AS r(k)), '' ORDER BY i) AS payload_digest,
+       CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last_id THEN last_id END AS refers_to
+FROM c GROUP BY page_id, n, last_id
+"""
+
+
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, folder, "documents"))
+
+
 def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -89,7 +127,7 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """
 
-Q.update(op3_decontaminate=op3_decontaminate, op4_exact_dedup=op4_exact_dedup, op6_simhash=op6_simhash, op9_chat_format=op9_chat_format)
+Q.update({f.__name__: f for f in (op3_decontaminate, op4_exact_dedup, op5_pack, op6_simhash, op7_warc, op8_secret_scan, op9_chat_format)})
 
 
 def queries() -> dict:
