@@ -7,12 +7,21 @@ from pyspark.sql import functions as F
 
 from tallyward.context import scratch_path
 
-from . import chat, decontaminate, exact_dedup, packing, secret_scan, simhash, warc
+from . import chat, decontaminate, exact_dedup, html_text, language_id, packing, quality, secret_scan, simhash, warc
 from .common import table
 
 Q, SQL = {}, {}
 
 
+def op1_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.main_text(table(spark, folder, "pages"))
+
+
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, folder, "labels")))
+
+
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -48,7 +57,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS te
 
 
 def op5_pack(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"))
+    return packing.pack_documents(table(spark, folder, "documents"))
 
 
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -127,7 +136,15 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """
 
-Q.update({f.__name__: f for f in (op3_decontaminate, op4_exact_dedup, op5_pack, op6_simhash, op7_warc, op8_secret_scan, op9_chat_format)})
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language_id.identify(docs, language_id.fit(docs))
+
+
+_REGISTERED = (
+    op1_html_text, op2_quality, op3_decontaminate, op4_exact_dedup, op5_pack, op6_simhash, op7_warc, op8_secret_scan, op9_chat_format, op10_language_id,
+)
+Q.update({f.__name__: f for f in _REGISTERED})
 
 
 def queries() -> dict:
