@@ -20,8 +20,8 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from struct import pack
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 import public_tokenizers
@@ -39,7 +39,7 @@ LEAST_PIECE = 8
 #: Partitions whose last partial windows meet in one task: at most MERGE x SEQUENCE ids.
 MERGE = 128
 #: Words whose ids a task keeps; beyond, it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_200_000
 
 SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 #: Characters for which lower case, NFC and character classes agree between Python and the tokenizer; other texts go to it whole.
@@ -48,42 +48,33 @@ _OTHER = re.compile("[^\t-\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131
 _WORDS = re.compile(r"[^\W\d_]+|'s|'t|'re|'ve|'m|'ll|'d|\d|(?:[^\s\w]|_)+")
 
 
-class WordIds:
-    """Ids of texts as little-endian unsigned 32-bit bytes. Each distinct word is tokenised once per task, in batches."""
+#: Byte-level symbols: a printable byte is itself, the others follow from U+0100 on, in order.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_SYMBOLS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
+class WordIds(dict):
+    """Ids of words, and of texts, as little-endian unsigned 32-bit bytes. A word is tokenised when first asked for."""
 
     def __init__(self, path: str):
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-
-    def learn(self, words: list[str]) -> None:
-        for first in range(0, len(words), 64):
-            part = words[first : first + 64]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(part):  # a word without an end token: each by itself
-                self.known.update((w, np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()) for w in part)
-                continue
-            data = ids.tobytes()
-            for word, a, b in zip(part, [0, *cuts[:-1].tolist()], cuts.tolist()):
-                self.known[word] = data[4 * a : 4 * b]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _OTHER.search(t) or any(s in t for s in SPECIAL) else _WORDS.findall(t.lower()) for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new: set[str] = set()
-        for words in split:
-            if words:
-                new.update(words)
-        self.learn(sorted(new - self.known.keys()))
-        get = self.known.__getitem__
-        return [
-            np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if words is None else b"".join(map(get, words))
-            for t, words in zip(texts, split)
-        ]
+        self.model = self.tokenizer.model
+
+    def __missing__(self, word: str) -> bytes:
+        """Ids of a word of the tokenizer's split: its model merges the word's bytes."""
+        symbols = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_SYMBOLS)
+        ids = [t.id for t in self.model.tokenize(symbols)]
+        self[word] = data = pack(f"<{len(ids)}I", *ids)
+        return data
+
+    def text(self, text: str) -> bytes:
+        if _OTHER.search(text) or any(s in text for s in SPECIAL):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return pack(f"<{len(ids)}I", *ids)
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        return b"".join(map(self.__getitem__, _WORDS.findall(text.lower())))
 
 
 class Packer:
@@ -153,7 +144,7 @@ _word_ids: dict[str, WordIds] = {}
 
 
 def _pack_partition(path: str, end_id: int, size: int, most_open: int):
-    end = np.array([end_id], "<u4").tobytes()
+    end = pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _word_ids:
@@ -162,9 +153,8 @@ def _pack_partition(path: str, end_id: int, size: int, most_open: int):
         for batch in batches:
             ids, texts, id_type = batch.column(0).to_pylist(), batch.column(1), batch.column(0).type
             for first in range(0, batch.num_rows, 256):
-                part = [t or "" for t in texts.slice(first, 256).to_pylist()]
-                for doc_id, encoded in zip(ids[first:], words.encode(part)):
-                    packer.add(doc_id, encoded + end)
+                for doc_id, text in zip(ids[first:], texts.slice(first, 256).to_pylist()):
+                    packer.add(doc_id, words.text(text or "") + end)
                 yield _batch(packer.out, id_type)
                 packer.out = []
         partial = packer.pour([p for w in sorted(packer.open, key=lambda w: w[0]) for p in w[1]])
@@ -189,7 +179,7 @@ def _merge(size: int):
     return run
 
 
-def pack(docs: DataFrame, path: str = TOKENIZER, end_id: int = END_ID, size: int = SEQUENCE, most_open: int = OPEN_WINDOWS) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str = TOKENIZER, end_id: int = END_ID, size: int = SEQUENCE, most_open: int = OPEN_WINDOWS) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     numbers = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
