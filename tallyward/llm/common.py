@@ -35,6 +35,15 @@ def sampled(key: Column, rate: float) -> Column:
     return F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(grain)) < F.lit(min(grain, round(rate * grain)))
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a number of their own, and its column, a name that no other has. Rows read from files get the same
+    numbers each time they are read; repeated rows and repeated ids stay apart by it."""
+    name = "row"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name = f"_{name}"
+    return docs.withColumn(name, F.monotonically_increasing_id()), name
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column, and the offsets of its rows in them; null counts as empty."""
     if column.null_count:

@@ -128,7 +128,7 @@ def _item_windows(window: int, k: int):
     return run
 
 
-def _document_windows(lengths: list[tuple[int, int]], bitmap: np.ndarray, bits: int, id_type: pa.DataType):
+def _document_windows(lengths: list[tuple[int, int]], bitmap: np.ndarray, bits: int):
     shift = np.uint64(64 - bits)
 
     def listed(prints: np.ndarray) -> np.ndarray:
@@ -141,7 +141,7 @@ def _document_windows(lengths: list[tuple[int, int]], bitmap: np.ndarray, bits:
         serial = TaskContext.get().partitionId() << 33
         for batch in batches:
             n_words, hits = np.zeros(batch.num_rows, np.int64), [[] for _ in range(batch.num_rows)]
-            for first, last, data, offsets in text_chunks(batch.column(1)):
+            for first, last, data, offsets in text_chunks(batch.column(0)):
                 starts, ends, hashes, cut = words(data, offsets)
                 n_words[first:last] = np.diff(cut)
                 folded = None
@@ -155,7 +155,7 @@ def _document_windows(lengths: list[tuple[int, int]], bitmap: np.ndarray, bits:
                         hits[first + r].append({"print": int(prints[i : i + 1].view(np.int64)[0]), "at": i - int(cut[r]), "length": window, "words": _span(folded, starts, ends, i, window)})
             rows = np.arange(serial, serial + batch.num_rows)
             serial += batch.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(rows), batch.column(0).cast(id_type), pa.array(n_words), pa.array(hits, hit_type)], ["row", "doc_id", "n_words", "hits"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows), *batch.columns[1:], pa.array(n_words), pa.array(hits, hit_type)], ["row", *(f"id{i}" for i in range(batch.num_columns - 1)), "n_words", "hits"])
 
     return run
 
@@ -171,17 +171,17 @@ def _bitmap(prints: DataFrame, bits: int) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = KGRAM, bits: int = BITMAP_BITS) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = KGRAM, bits: int = BITMAP_BITS, row: str | None = None) -> DataFrame:
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and the ``row`` column if named."""
     items = cut_lineage(
         benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").mapInArrow(_item_windows(window, k), "item_id string, print long, words string").distinct()
     )
     n_words = F.size(F.split("words", " "))
     short = [r[0] for r in items.select(n_words.alias("n")).filter(F.col("n") < window).distinct().collect()]  # fewer than `window` values
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    arrow_id = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
-    schema = f"row long, doc_id {id_type}, n_words long, hits array<struct<print: long, at: int, length: int, words: string>>"
-    base = cut_lineage(docs.select("doc_id", "text").mapInArrow(_document_windows(_lengths(window, k, short), _bitmap(items, bits), bits, arrow_id), schema))
+    ids = ["doc_id", *([row] if row else [])]
+    kinds = ", ".join(f"id{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(ids))
+    schema = f"row long, {kinds}, n_words long, hits array<struct<print: long, at: int, length: int, words: string>>"
+    base = cut_lineage(docs.select("text", *ids).mapInArrow(_document_windows(_lengths(window, k, short), _bitmap(items, bits), bits), schema))
     # One benchmark row for each fingerprint and window: the join brings at most one row for each window of a document.
     known = items.select("print", "words").distinct()
     found = base.select("row", F.explode("hits").alias("h")).select("row", "h.*").join(known, ["print", "words"])
@@ -194,13 +194,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
         .groupBy("row").agg(F.array_sort(F.collect_list("item_id")).alias("items"))
     )
     return (
-        base.select("row", "doc_id", "n_words").join(spans, "row", "left").join(listed, "row", "left")
+        base.drop("hits").join(spans, "row", "left").join(listed, "row", "left")
         .select(
-            "doc_id",
+            F.col("id0").alias("doc_id"),
             "n_words",
             F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
             F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
             F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
             (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+            *([F.col("id1").alias(row)] if row else []),
         )
     )

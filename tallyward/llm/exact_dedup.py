@@ -27,15 +27,16 @@ from .common import SPACES
 PREFIX = 48
 
 
-def exact_duplicates(docs: DataFrame, shards: int = 32) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
+def exact_duplicates(docs: DataFrame, shards: int = 32, row: str | None = None) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, and the ``row`` column if named.
 
     Texts are equal when identical without ASCII white space. Of a group stays the row with the
     longest original text, then the smallest doc_id.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
+    number = F.col(row) if row else F.lit(None).cast("long")
     rows = (
-        docs.select("doc_id", F.translate(text, SPACES, "").alias("body"), F.char_length(text).alias("n"))
+        docs.select("doc_id", number.alias("number"), F.translate(text, SPACES, "").alias("body"), F.char_length(text).alias("n"))
         .withColumn("prefix", F.substring("body", 1, PREFIX))
         .withColumn("hash", F.xxhash64("body"))
         .withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
@@ -45,7 +46,7 @@ def exact_duplicates(docs: DataFrame, shards: int = 32) -> DataFrame:
     thin = cut_lineage(
         rows.repartitionByRange("prefix", "hash", "shard")
         .withColumn("place", F.row_number().over(run))
-        .select("doc_id", "n", "shard", F.unhex(F.sha2("body", 256)).alias("sha"), (F.col("place") == 1).alias("leads"))
+        .select("doc_id", "number", "n", "shard", F.unhex(F.sha2("body", 256)).alias("sha"), (F.col("place") == 1).alias("leads"))
     )
     best = F.struct((-F.col("n")).alias("n"), F.col("doc_id").isNull().alias("absent"), "doc_id")
     groups = (
@@ -65,4 +66,5 @@ def exact_duplicates(docs: DataFrame, shards: int = 32) -> DataFrame:
         F.when(many, F.col("group_size")).otherwise(F.lit(1)).cast("long").alias("group_size"),
         (~many | (F.col("leads") & F.col("doc_id").eqNullSafe(F.col("keep_id")))).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
+        *([F.col("number").alias(row)] if row else []),
     )

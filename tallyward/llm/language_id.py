@@ -178,33 +178,47 @@ def has_letter():
     return F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}")
 
 
+def guesses(texts: pa.Array, letters: pa.Array, network: Network) -> tuple[pa.Array, pa.Array]:
+    """Language and score of each text."""
+    data, offsets = text_bytes(texts)
+    tables, rows = network.tables(), np.arange(len(texts))
+    total = np.zeros((len(texts), len(network.languages)))
+    for first in range(0, len(texts), 16):
+        o = offsets[first : first + 17]
+        windows, row, sizes = cut(data[o[0] : o[-1]], o - o[0])
+        for s in range(0, len(row), STEP):
+            got = network.chances(network.largest(windows[s : s + STEP], tables)) * sizes[s : s + STEP, None]
+            np.add.at(total, first + row[s : s + STEP], got)
+    total /= np.maximum(1, np.diff(offsets))[:, None]
+    best = total.argmax(axis=1)
+    known = letters.to_numpy(zero_copy_only=False) & (np.diff(offsets) > 0)
+    langs = [network.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
+    return pa.array(langs, pa.string()), pa.array(np.where(known, np.clip(total[rows, best], 0, 1), 0.0))
+
+
 def identify(docs: DataFrame, network: Network | None) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", held_out().alias("held_out"), "text", has_letter().alias("letters"))
+    if network is None:
+        return rows.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = network.tables()
         for batch in batches:
-            data, offsets = text_bytes(batch.column(2))
-            total = np.zeros((batch.num_rows, len(network.languages)))
-            rows = np.arange(batch.num_rows)
-            for first in range(0, batch.num_rows, 256):
-                own = slice(first, min(first + 256, batch.num_rows))
-                part = offsets[own.start : own.stop + 1]
-                for a in range(0, own.stop - own.start, 16):
-                    o = part[a : min(a + 16, len(part) - 1) + 1]
-                    windows, row, sizes = cut(data[o[0] : o[-1]], o - o[0])
-                    for s in range(0, len(row), STEP):
-                        got = network.chances(network.largest(windows[s : s + STEP], tables)) * sizes[s : s + STEP, None]
-                        np.add.at(total, own.start + a + row[s : s + STEP], got)
-            total /= np.maximum(1, np.diff(offsets))[:, None]
-            best = total.argmax(axis=1)
-            known = np.asarray(batch.column(1)) & (np.diff(offsets) > 0)
-            langs = [network.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
-            score = np.where(known, np.clip(total[rows, best], 0, 1), 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array(langs, pa.string()), pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
-
-    rows = docs.select("doc_id", has_letter().alias("letters"), "text", held_out().alias("held_out"))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *guesses(*batch.columns[2:], network)], ["doc_id", "held_out", "lang_pred", "score"])
+
+    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, network: Network | None) -> DataFrame:
+    """The documents whose language is found, with all their columns, in one pass: those that are ``und`` go."""
     if network is None:
-        return rows.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    return rows.mapInArrow(run, f"doc_id {id_type}, held_out boolean, lang_pred string, score double")
+        return docs.limit(0)
+    names, text = docs.columns, docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, _ = guesses(batch.column(text), batch.columns[-1], network)
+            keep = pa.array(langs.to_numpy(zero_copy_only=False) != UNKNOWN)
+            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in batch.columns[:-1]], names)
+
+    return docs.select("*", has_letter().alias("letters")).mapInArrow(run, docs.schema)

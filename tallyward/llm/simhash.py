@@ -53,15 +53,17 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, print) of each row; the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, row: str | None = None) -> DataFrame:
+    """(doc_id, print) of each row, and ``row`` if named; the 64 bits as a signed long."""
+    ids = ["doc_id", *([row] if row else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = np.array([fingerprint(t or "", shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "print"])
+            prints = np.array([fingerprint(t or "", shingle) for t in batch.column(0).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(prints.view(np.int64))], [*ids, "print"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, print long")
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in ids)
+    return docs.select("text", *ids).mapInArrow(run, f"{kinds}, print long")
 
 
 def embedded(value: Column) -> Column:
@@ -118,12 +120,12 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")).unionAll(edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id reachable by links)."""
-    prints = cut_lineage(fingerprints(docs, shingle))
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, row: str | None = None) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id reachable by links), and ``row`` if named."""
+    prints = cut_lineage(fingerprints(docs, shingle, row))
     points = cut_lineage(prints.groupBy("print").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")))
     rooted = components(links(points.select("print"), distance))
     joined = points.join(rooted, points["print"] == rooted["node"], "left").select("print", "first_id", F.coalesce("root", "print").alias("root"))
     names = cut_lineage(joined.groupBy("root").agg(F.min("first_id").alias("component_id")))  # a table of its own, so that Spark can split a large component
     classes = cut_lineage(joined.join(names, "root").select("print", "component_id"))
-    return prints.join(classes, "print", "left").select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints.join(classes, "print", "left").select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id", *([row] if row else []))
