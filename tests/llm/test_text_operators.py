@@ -1,0 +1,429 @@
+"""The text operators against brute force, exact round trips and held-out labels, and on awkward tables."""
+
+import base64
+import bz2
+import collections
+import gzip
+import hashlib
+import re
+import urllib.parse
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from compare import compare, duck
+from tallyward.llm import chat, decontaminate, exact_dedup, html_text, language_id, packing, quality, secret_scan, simhash, warc
+from tallyward.llm import queries as registered
+from tallyward.llm.common import table
+
+DOCS = "doc_id long, text string, lang string, score double, kept string"
+LONG = "Wörter und more words, again and again. " * 20_000
+
+
+def documents(spark, rows):
+    """Rows (doc_id, text, lang) with extra columns whose names operators use themselves."""
+    return spark.createDataFrame([(*r, 0.5, "x") for r in rows], DOCS)
+
+
+def awkward(spark):
+    return documents(
+        spark,
+        [(1, None, None), (2, "", "en"), (3, " \t\n", None), (4, LONG, "de"), (5, "the same text here", "en"), (6, "the  same text\nhere", "en"), (6, "the  same text\nhere", "en"), (None, "the same text here", None), (7, "1234 --", "en"), (8, "ünï🙂 \x00 end", "fr")],
+    )
+
+
+@pytest.fixture(scope="module")
+def con(sf):
+    return duck(sf)
+
+
+@pytest.mark.parametrize("name", sorted(registered.oracle_sql()))
+def test_equals_sql(spark, con, sf, name):
+    result = compare(spark, con, name, sf, registered.queries(), registered.oracle_sql())
+    assert result.startswith("ok") and "TYPES" not in result, result
+
+
+# 1 HTML
+
+
+def text_of(source, winners=()):
+    return html_text.Page(source).text(list(winners))
+
+
+def test_page_without_what_is_not_article():
+    page = """<html><head><title>t</title><script>var a="<p>no</p>"</script></head><body class="has-sidebar"><div id="top-nav"><a href=1>Home</a></div>
+    <div class="layout"><div class="main-col"><h1>Title &amp; more</h1><div class="cookie-notice">cookies</div><p>First <i>para</i>graph
+    with&nbsp;text.<p>Second &lt;b&gt; &#8211; longer than that.<br>line<ul><li>one<li>two</ul><form><label>Name</label><input></form>
+    <section id="comments"><div class="comment">Nice!</div></section></div><aside>Side</aside><div class="sidebar">Side</div></div><footer>(c)</footer></body>"""
+    assert text_of(page) == "Title & more\n\nFirst paragraph with text.\n\nSecond <b> – longer than that. line\n\none\n\ntwo"
+
+
+@pytest.mark.parametrize("page, text", [("", ""), ("only text", "only text"), ("<nav>menu</nav>", ""), ("<p>a<!-- x -->b <", "ab <"), ("<p>a</p><p>b<div", "a\n\nb"), ("<article><p>x</p>", "x")])
+def test_odd_pages(page, text):
+    assert text_of(page) == text
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="<>/!-&;\"'= abpdivnt\n", max_size=80))
+def test_any_markup_is_read(page):
+    text_of(page)
+
+
+def test_pages_of_a_host_agree(spark):
+    wide = "<body><div class='lead'><p>{}</p></div><div class='post-{}'><p>{}</p></div></body>"
+    rows = [(i, "http://a.org/x", wide.format("short", i, "the long article text " * 5), "extra") for i in range(5)]
+    rows += [(9, "http://a.org/y", wide.format("a long teaser, this once " * 9, 9, "the article"), "extra"), (10, None, None, "e"), (11, "no url", "<p>x</p>", "e")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string")
+    out = {r.page_id: r for r in html_text.main_text(pages).collect()}
+    assert out[9].text == "the article" and out[9].n_chars == 11  # its own best container would be the teaser
+    assert out[10].text == "" and out[11].text == "x" and len(out) == 8
+    assert html_text.main_text(pages.limit(0)).count() == 0
+
+
+def test_winners_too_large_to_send(spark, sf, monkeypatch):
+    pages = table(spark, sf, "pages")
+    sent = sorted(html_text.main_text(pages).collect())
+    monkeypatch.setattr(html_text, "BROADCAST_BYTES", 0)
+    assert sorted(html_text.main_text(pages).collect()) == sent
+
+
+def test_all_pages_equal_their_article(spark, sf):
+    for r in html_text.main_text(table(spark, sf, "pages")).join(table(spark, sf, "pages").select("page_id", "html"), "page_id").collect():
+        inner = re.search(r"<article>(.*?)</article>", r.html, re.DOTALL)[1]
+        blocks = [" ".join(html_text.entities.unescape(re.sub("<br>", " ", re.sub("</?b>", "", b))).split()) for b in re.split("</?(?:p|h1)>", inner)]
+        assert r.text == "\n\n".join(b for b in blocks if b)
+
+
+# 2 quality
+
+
+def test_quality_on_held_out_labels(spark):
+    folder = "/root/testdata/sf0.01"
+    found = registered.op2_quality(spark, folder).join(table(spark, folder, "labels"), "doc_id").filter("held_out").collect()
+    good, bad = [r.score for r in found if r.quality], [r.score for r in found if not r.quality]
+    auc = np.mean([[(g > b) + 0.5 * (g == b) for b in bad] for g in good])
+    assert auc > 0.97 and all(r.predicted == int(r.score >= 0.3) for r in found)
+
+
+def test_additive_model_finds_an_interaction():
+    rng = np.random.default_rng(0)
+    x = rng.random((4000, 4))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
+    model = quality.train(x, y)
+    assert {(i, j) for i, j, _ in model.pairs[:1]} == {(0, 1)}
+    assert np.mean((model.score(x) > 0.5) == y) > 0.9
+
+
+def test_quality_of_awkward_tables(spark):
+    docs = awkward(spark)
+    labels = spark.createDataFrame([(5, 1, None), (5, None, 0), (99, 1, 0)], "doc_id long, quality int, toxic int")
+    rows = quality.score(docs, quality.fit(docs, labels)).collect()
+    assert len(rows) == 10 and all(0 <= r.score <= 1 for r in rows)
+    assert quality.score(docs.limit(0), quality.fit(docs, labels.limit(0))).count() == 0
+
+
+# 3 decontamination
+
+
+def brute_contamination(docs, items, window=10):
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    wanted = collections.defaultdict(set)
+    for item, text in items:
+        w = split(text)
+        n = min(window, len(w))
+        for i in range(len(w) - n + 1 if n else 0):
+            wanted[tuple(w[i : i + n])].add(str(item))
+    for text in docs:
+        w, hit, found = split(text), set(), set()
+        for n in {len(k) for k in wanted}:
+            for i in range(len(w) - n + 1):
+                if (k := tuple(w[i : i + n])) in wanted:
+                    hit |= set(range(i, i + n))
+                    found |= wanted[k]
+        yield len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)
+
+
+def test_contamination_equals_brute_force(spark):
+    rng, words = np.random.default_rng(1), ["a", "b", "É", "x1"]
+    items = [(i, " ".join(rng.choice(words, n))) for i, n in enumerate([12, 30, 10, 3, 1, 0, 11, 9])] + [(8, None), (8, "a B é x1")]
+    texts = [" ".join(rng.choice(words, int(n))) for n in rng.integers(0, 60, 60)] + [None, "", "--", items[1][1].upper(), f"{items[0][1]}. {items[0][1]}"] * 2
+    docs = documents(spark, [(i % 40, t, None) for i, t in enumerate(texts)])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = decontaminate.contamination(docs, bench).collect()
+    assert sorted(tuple(r)[1:] for r in rows) == sorted(brute_contamination(texts, items))
+    assert decontaminate.contamination(docs, bench.limit(0)).filter("contaminated").count() == 0
+    assert decontaminate.contamination(docs.limit(0), bench).count() == 0
+
+
+# 4 exact dedup
+
+
+def test_exact_duplicates_of_awkward_rows(spark):
+    rows = exact_dedup.exact_duplicates(awkward(spark), shards=2).collect()
+    by_id = collections.defaultdict(list)
+    for r in rows:
+        by_id[r.doc_id].append(r)
+    assert {by_id[i][0].keep_id for i in (1, 2, 3)} == {3} and by_id[1][0].group_size == 3
+    assert by_id[3][0].kept and not by_id[1][0].kept and by_id[1][0].text_sha256 == hashlib.sha256(b"").hexdigest()
+    same = [r for i in (5, 6, None) for r in by_id[i]]
+    assert {r.keep_id for r in same} == {6} and {r.group_size for r in same} == {4} and sum(r.kept for r in same) == 1
+    assert len(rows) == 10 and sum(r.kept for r in rows) == 5
+    assert exact_dedup.exact_duplicates(awkward(spark).limit(0)).count() == 0
+
+
+def test_exact_duplicates_run_no_python(spark, sf):
+    from plan_audit import physical_plan
+
+    assert not re.search("Python|Pandas|Arrow", physical_plan(exact_dedup.exact_duplicates(table(spark, sf, "documents"))))
+
+
+# 5 packing
+
+
+def assert_packed(rows, texts, size=packing.SEQUENCE):
+    tokenizer, sequences, pieces = Tokenizer.from_file(packing.TOKENIZER), collections.defaultdict(list), collections.defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+        pieces[r.doc_id].append(r)
+    lengths = []
+    for parts in sequences.values():
+        ends = np.cumsum([0, *(n for _, n in sorted(parts))])
+        assert [o for o, _ in sorted(parts)] == ends[:-1].tolist() and ends[-1] <= size
+        lengths.append(int(ends[-1]))
+    assert sorted(pieces) == sorted(texts)
+    for doc_id, text in texts.items():
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        parts, at = sorted(pieces[doc_id], key=lambda r: r.start), 0
+        for r in parts:
+            assert (r.start, r.doc_tokens) == (at, len(ids)) and r.length > 0
+            assert r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+    return lengths
+
+
+def test_packing_is_whole_and_dense(spark, sf):
+    docs = table(spark, sf, "documents").repartition(5)
+    lengths = assert_packed(packing.pack_documents(docs).collect(), {r.doc_id: r.text for r in docs.collect()})
+    padding = sum(0 if n & (n - 1) == 0 else packing.SEQUENCE - n for n in lengths)
+    assert padding < 0.005 * sum(lengths)
+
+
+def test_packing_of_awkward_texts(spark):
+    texts = {1: None, 2: "", 3: LONG, 4: "a<|endoftext|>b", 5: "ΣΑΣ İx it's ½", 6: "é \x1cab\x85 12 __x"}
+    docs = documents(spark, [(i, t, None) for i, t in texts.items()])
+    assert_packed(packing.pack_documents(docs).collect(), texts)
+    assert packing.pack_documents(docs.limit(0)).count() == 0
+    twice = packing.pack_documents(docs.filter("doc_id = 2").union(docs.filter("doc_id = 2")).withColumn("doc_id", F.lit(None).cast("long"))).collect()
+    assert [(r.doc_id, r.doc_tokens) for r in twice] == [(None, 1)] * 2
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.characters(max_codepoint=0x250), max_size=40))
+def test_word_ids_equal_the_tokenizer(text):
+    words = packing._word_ids.setdefault(packing.TOKENIZER, packing.WordIds(packing.TOKENIZER))
+    ids = words.tokenizer.encode(text, add_special_tokens=False).ids
+    assert words.text(text) == np.array(ids, "<u4").tobytes()
+
+
+# 6 SimHash
+
+
+def test_components_equal_brute_force(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rows = simhash.near_duplicates(docs).collect()
+    prints = {r.doc_id: int(r.fingerprint, 16) for r in rows}
+    values, root = np.array(list(prints.values()), np.uint64), {d: d for d in prints}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    ids = list(prints)
+    for i, d in enumerate(ids):
+        for j in np.flatnonzero(np.bitwise_count(values ^ values[i]) <= 3):
+            a, b = sorted((find(d), find(ids[j])))
+            root[b] = a
+    assert {r.doc_id: r.component_id for r in rows} == {d: find(d) for d in ids}
+
+
+def test_links_at_every_distance(spark):
+    rng = np.random.default_rng(3)
+    base = int(rng.integers(0, 1 << 63))
+    near = [base] + [base ^ sum(1 << int(b) for b in rng.choice(64, k, replace=False)) for k in (1, 2, 3, 3, 3, 4, 5, 7) for _ in range(20)]
+    signed = sorted({x - (1 << 64) if x >> 63 else x for x in near})
+    want = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= 3}
+    got = simhash.links(spark.createDataFrame([(x,) for x in signed], "print long")).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
+def test_fingerprint_equals_spark_hashes(spark):
+    text = "One two\tthree FOUR five"
+    hashes = [r[0] % (1 << 64) for r in spark.createDataFrame([("one two three",), ("two three four",), ("three four five",)], "s string").select(F.xxhash64("s")).collect()]
+    want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > 3)
+    assert simhash.fingerprint(text) == want
+
+
+def test_near_duplicates_of_awkward_rows(spark):
+    rows = simhash.near_duplicates(awkward(spark)).collect()
+    assert len(rows) == 10 and all(r.component_id == 1 and r.fingerprint == "0" * 16 for r in rows if r.doc_id in (1, 2, 3))
+    assert {r.component_id for r in rows if r.doc_id in (5, 6, None)} == {5}
+    assert simhash.near_duplicates(awkward(spark).limit(0)).count() == 0
+
+
+# 7 WARC
+
+
+def test_archives_round_trip(spark, folder):
+    rows = [(1, "http://a/é b", "x<é>\r\n\r\nWARC/1.0"), (2, None, "x<é>\r\n\r\nWARC/1.0"), (3, "u", ""), (4, "u", None), (None, "u", "q"), (5, "v", "q"), (5, "v", "q"), (6, "w", LONG)]
+    pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, record_type string")
+    warc.write_archives(pages, f"{folder}/a")
+    out = {(r.record_id, r.record_type): r for r in warc.read_archives(spark, f"{folder}/a").collect()}
+    assert {k for k in out if k[1] == "response"} == {(x, "response") for x in "2456"}
+    assert {(k[0], r.refers_to) for k, r in out.items() if k[1] == "revisit"} == {("1", "2"), ("3", "4"), ("", "5")}
+    for r in out.values():
+        html = next((x[2] or "" for x in rows if str(x[0] or "") == r.record_id))
+        assert r.payload_length == len(html.encode()) and r.payload_digest == base64.b32encode(hashlib.sha1(html.encode()).digest()).decode()
+        assert r.record_type == "revisit" or (bytes(r.payload).decode() == html and r.verified)
+    assert out["1", "revisit"].target_uri == "http://a/é b" and out["2", "response"].target_uri is None
+    only = warc.read_archives(spark, f"{folder}/a", payload=False, record_type="response", target_uri=["v", "w"]).collect()
+    assert sorted(r.record_id for r in only) == ["5", "5", "6"] and all(r.payload is None for r in only)
+    warc.write_archives(pages.limit(0), f"{folder}/empty")
+    assert warc.read_archives(spark, f"{folder}/empty").count() == 0
+
+
+def test_predicates_reach_the_reader_and_plain_files_are_read(spark, folder):
+    import glob
+    import os
+
+    from plan_audit import physical_plan
+
+    pages = spark.createDataFrame([(i, f"http://h{i % 2}/", f"<p>{i % 3}</p>" * 50) for i in range(20)], "page_id long, url string, html string")
+    warc.write_archives(pages, f"{folder}/a")
+    os.makedirs(f"{folder}/plain")
+    with open(f"{folder}/plain/all.warc", "wb") as f:
+        f.write(b"".join(gzip.open(x).read() for x in sorted(glob.glob(f"{folder}/a/*.gz"))))
+    key = "spark.sql.python.filterPushdown.enabled"
+    want = sorted(map(str, warc.read_archives(spark, f"{folder}/a").filter("record_type = 'revisit' AND target_uri IN ('http://h1/')").collect()))
+    spark.conf.set(key, "true")
+    try:
+        pushed = warc.read_archives(spark, f"{folder}/a").filter("record_type = 'revisit' AND target_uri IN ('http://h1/')")
+        assert sorted(map(str, pushed.collect())) == want and want
+        assert not re.search("= ?revisit|IN ?\\(http", physical_plan(pushed))
+    finally:
+        spark.conf.unset(key)
+    for payload in (True, False):
+        a, b = (sorted(map(str, warc.read_archives(spark, f"{folder}/{x}", payload=payload).collect())) for x in ("a", "plain"))
+        assert a == b and len(a) == 20
+
+
+# 8 secrets
+
+
+def base_spans(text):
+    found = [("assign", *m.span()) for m in re.finditer(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[2]) >= 6]
+    found += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(found, key=lambda s: (s[1], ["assign", "access", "hex"].index(s[0]))))
+
+
+def test_base_spans_equal_the_patterns(spark, sf):
+    for text in [r.text for r in table(spark, sf, "documents").collect()] + ["SECRET='x.yz12' ſecret=abcdefgh token:abc", "a" * 30, "0" * 23 + " " + "f" * 24]:
+        base, found = secret_scan.scan(text)
+        assert secret_scan.listed(base) == base_spans(text) and set(base) <= set(found)
+
+
+SECRET = 'password = "hunter22x"'
+CODED = base64.b64encode(SECRET.encode()).decode()
+
+
+@pytest.mark.parametrize(
+    "hidden",
+    [
+        urllib.parse.quote(SECRET),
+        urllib.parse.quote(urllib.parse.quote(SECRET)),
+        CODED,
+        CODED.rstrip("="),
+        base64.urlsafe_b64encode(f"ÿþ{SECRET}".encode()).decode(),
+        "".join(f"\\u{ord(c):04x}" for c in SECRET),
+        "".join(f"&#{ord(c)};" for c in SECRET),
+        *(base64.b64encode(c(CODED.encode())).decode() for c in (gzip.compress, zlib.compress, bz2.compress)),
+        urllib.parse.quote(base64.b64encode("".join(f"\\x{ord(c):02x}" for c in SECRET).encode()).decode()),
+    ],
+)
+def test_nested_layers_map_to_the_text(hidden):
+    text = f"véry {hidden} end"
+    base, found = secret_scan.scan(text)
+    assert not [s for s in base if s[1] == 0]
+    spans = [(a, b) for a, kind, b in found if kind == 0]
+    assert spans and all(5 <= a < b <= 5 + len(hidden) for a, b in spans)
+
+
+def test_cycles_and_broken_layers_end():
+    for text in ("%25" * 200 + "41", "%zz%4", "\\u12 \\ud800 &#x110000; &#55296;", base64.b64encode(b"\x1f\x8b broken").decode(), "QUFB" * 3000, "%1F%8B%00"):
+        secret_scan.scan(text)
+
+
+def test_secrets_of_awkward_rows(spark):
+    rows = secret_scan.secrets(awkward(spark)).collect()
+    assert len(rows) == 10 and all(r.spans == "" and r.base_sha256 == hashlib.sha256(b"").hexdigest() for r in rows)
+    assert secret_scan.secrets(awkward(spark).limit(0)).count() == 0
+
+
+# 9 chat
+
+
+def test_chat_reads_back_and_flags_loss(spark):
+    odd = "␛0␛<|end|>\n[INST]</s><|user|>\n<"
+    rows = [(1, 0, "system", "s"), (1, 1, "user", odd), (1, 2, "assistant", odd), (2, 0, "assistant", "x"), (2, None, None, None), (3, 0, "user", "a"), (3, 0, "user", "a"), (None, 0, "us|>er", "")]
+    turns = spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, turn long, role string, text string, segments string")
+    out = {r.conv_id: r for r in chat.format_conversations(turns).withColumn("read", chat.read_back(F.col("formatted"))).collect()}
+    assert [tuple(t) for t in out[1]["read"]] == [("system", "s"), ("user", odd), ("assistant", odd)] and out[1].valid
+    assert [tuple(t) for t in out[2]["read"]] == [("", ""), ("assistant", "x")] and (out[2].valid, out[2].bad_position) == (False, 0)
+    assert len(out[3]["read"]) == 2 and out[3].bad_position == 1 and out[None]["read"][0].role == "us|>er"
+    assert [s.loss for s in out[1].segments] == [False] * 7 + [True, False]
+    assert "".join(s.text for s in out[1].segments) == out[1].formatted
+    assert chat.format_conversations(turns.limit(0)).count() == 0
+    assert turns.filter("conv_id = 1").count() == 3
+
+
+def test_template_is_checked():
+    with pytest.raises(ValueError):
+        chat.Template(follows={}, ends=(), loss=(), escape="<")
+
+
+# 10 language
+
+
+def test_language_of_held_out_documents(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = registered.op10_language_id(spark, folder).join(table(spark, folder, "documents").select("doc_id", "lang"), "doc_id").filter("held_out").collect()
+    assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.97
+
+
+def test_convolution_tables_equal_a_plain_convolution():
+    rng = np.random.default_rng(5)
+    windows = rng.integers(0, 256, (6, language_id.WINDOW)).astype(np.uint8)
+    net = language_id.train(windows, np.array([0, 1, 0, 1, 0, 1]), ["a", "b"])
+    plain = []
+    for f in net.filters:
+        inputs = net.embedding[windows]
+        plain.append(np.max([np.einsum("nwe,wef->nf", inputs[:, i : i + len(f)], f) for i in range(language_id.WINDOW - len(f) + 1)], axis=0))
+    assert np.allclose(net.largest(windows, net.tables()), np.concatenate(plain, axis=1), atol=1e-4)
+    assert np.allclose(net.pooled(windows, net.tables())[0], np.concatenate(plain, axis=1), atol=1e-4)
+
+
+def test_language_of_awkward_rows(spark):
+    docs = awkward(spark)
+    rows = language_id.identify(docs, language_id.fit(docs)).collect()
+    assert len(rows) == 10 and {r.doc_id for r in rows if r.lang_pred == "und"} == {1, 2, 3, 7}
+    assert all(0 <= r.score <= 1 for r in rows)
+    none = language_id.identify(docs, language_id.fit(docs.withColumn("lang", F.lit(None).cast("string"))))
+    assert {r.lang_pred for r in none.collect()} == {"und"}
+    assert language_id.identify(docs.limit(0), language_id.fit(docs)).count() == 0
