@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +26,8 @@ def region_access(df: DataFrame, mapping: DataFrame, principal: Principal, colum
     if principal.role.upper() in ("ACCOUNTADMIN", "SYSADMIN") or principal.has_role("EXECUTIVE_AGENT_ROLE"):
         return df
     mine = mapping.filter(F.col("user_name") == principal.user).select(F.col("allowed_region").alias(column)).distinct()
-    return df.filter(F.col(column) != "ALL").join(mine, column, "left_semi").unionByName(
-        df.filter(F.col(column) == "ALL")
-    )
+    everywhere = df.sparkSession.createDataFrame([("ALL",)], f"{column} string")
+    return df.join(mine.unionByName(everywhere), column, "left_semi")
 
 
 def tenant_isolation(df: DataFrame, tenant_users: DataFrame, principal: Principal) -> DataFrame:
@@ -45,28 +46,19 @@ def tenant_row_counts(df: DataFrame, tenant_users: DataFrame, principal: Princip
 def effective_roles(grants: DataFrame) -> DataFrame:
     """Every role a role inherits, directly or through others, with the shortest distance.
 
-    Paths double in length each round, so the rounds are logarithmic in the hierarchy's depth. Each
-    round is checkpointed: the plan stays short and a lost executor costs one round at most.
+    Each round extends only the pairs found in the round before by one grant, and keeps those that
+    are new: no pair is derived from the whole closure again. Rounds are as many as the hierarchy is
+    deep. Each is checkpointed: the plan stays short and a lost executor costs one round at most.
     """
-    edges = grants.select("role", "granted_role").distinct().filter(F.col("role") != F.col("granted_role"))
-    closure = cut_lineage(edges.withColumn("distance", F.lit(1)))
-    known = closure.count()
-    while True:
-        left = closure.select("role", F.col("granted_role").alias("via"), F.col("distance").alias("near"))
-        right = closure.select(F.col("role").alias("via"), "granted_role", F.col("distance").alias("far"))
-        longer = left.join(right, "via").select(
-            "role", "granted_role", (F.col("near") + F.col("far")).alias("distance")
-        )
-        closure = cut_lineage(
-            closure.unionByName(longer)
-            .filter(F.col("role") != F.col("granted_role"))
-            .groupBy("role", "granted_role")
-            .agg(F.min("distance").alias("distance"))
-        )
-        size = closure.count()
-        if size == known:
-            return closure
-        known = size
+    edges = cut_lineage(grants.select("role", "granted_role").distinct().filter(F.col("role") != F.col("granted_role")))
+    step = edges.select(F.col("role").alias("via"), "granted_role")
+    rounds = [cut_lineage(edges.withColumn("distance", F.lit(1)))]
+    while not rounds[-1].isEmpty():
+        found = reduce(DataFrame.unionByName, rounds).select("role", "granted_role")
+        longer = rounds[-1].select("role", F.col("granted_role").alias("via")).join(step, "via").select("role", "granted_role").distinct()
+        fresh = longer.filter(F.col("role") != F.col("granted_role")).join(found, ["role", "granted_role"], "left_anti")
+        rounds.append(cut_lineage(fresh.withColumn("distance", F.lit(len(rounds) + 1))))
+    return reduce(DataFrame.unionByName, rounds)
 
 
 def _entitlements(tenants: DataFrame) -> DataFrame:
@@ -81,27 +73,38 @@ def _entitlements(tenants: DataFrame) -> DataFrame:
 def can_access_metric(requests: DataFrame, tenants: DataFrame, tenant_users: DataFrame) -> DataFrame:
     """For each requested (user, metric): does an active tenant of the user enable it?
 
-    Both lookups have unique keys, so requests are never multiplied.
+    It starts from what is asked: each distinct (user, metric), the user's tenants, and whether one of them enables that
+    metric or ``*``. The lookup has unique keys, so requests are never multiplied.
     """
-    by_user = tenant_users.select("user_email", "tenant_id").join(_entitlements(tenants), "tenant_id")
-    exact = by_user.select("user_email", "metric_name").distinct().withColumn("_exact", F.lit(True))
-    everything = by_user.filter(F.col("metric_name") == "*").select("user_email").distinct().withColumn("_all", F.lit(True))
-    return (
-        requests.join(exact, ["user_email", "metric_name"], "left")
-        .join(everything, "user_email", "left")
-        .select(*requests.columns, (F.col("_exact").isNotNull() | F.col("_all").isNotNull()).alias("can_access"))
-    )
+    keys = ["user_email", "metric_name"]
+    asked = requests.select(*keys).distinct()
+    held = asked.join(tenant_users.select("user_email", "tenant_id").distinct(), "user_email")
+    names = held.withColumn("_name", F.explode(F.array_distinct(F.array("metric_name", F.lit("*")))))
+    enabled = _entitlements(tenants).withColumnRenamed("metric_name", "_name")
+    granted = names.join(enabled, ["tenant_id", "_name"], "left_semi").select(*keys).distinct().withColumn("_granted", F.lit(True))
+    return requests.join(granted, keys, "left").select(*requests.columns, F.col("_granted").isNotNull().alias("can_access"))
 
 
 def tier_entitlements(tenants: DataFrame, tier_metrics: DataFrame) -> DataFrame:
-    """Each tenant's enabled metrics against its tier's list: GRANTED, MISSING or EXCESS."""
-    enabled = tenants.select("tenant_id", "tier", F.explode("metrics_enabled").alias("metric_name")).distinct()
-    due = tenants.select("tenant_id", "tier").join(
-        tier_metrics.filter("is_included").select("tier", "metric_name").distinct(), "tier"
+    """Each tenant's enabled metrics against its tier's list: GRANTED, MISSING or EXCESS.
+
+    A tenant that holds ``*`` misses nothing, and ``*`` itself is in excess where the tier does not list it. A tier that
+    lists ``*`` makes every enabled metric a granted one.
+    """
+    listed = tier_metrics.filter("is_included").select("tier", "metric_name").distinct()
+    open_tiers = listed.filter("metric_name = '*'").select("tier", F.lit(True).alias("_tier_all"))
+    holders = (
+        tenants.withColumn("_has_all", F.coalesce(F.array_contains("metrics_enabled", "*"), F.lit(False)))
+        .join(open_tiers, "tier", "left")
+        .select("tenant_id", "tier", "metrics_enabled", "_has_all", F.coalesce("_tier_all", F.lit(False)).alias("_tier_all"))
     )
+    enabled = holders.select("tenant_id", "tier", F.explode("metrics_enabled").alias("metric_name"), "_tier_all").distinct()
+    due = holders.select("tenant_id", "tier", "_has_all").distinct().join(listed, "tier")
     keys = ["tenant_id", "tier", "metric_name"]
     joined = enabled.withColumn("_on", F.lit(True)).join(due.withColumn("_due", F.lit(True)), keys, "full_outer")
-    state = F.when(F.col("_on").isNull(), "MISSING").when(F.col("_due").isNull(), "EXCESS").otherwise("GRANTED")
+    missing = F.col("_on").isNull() & ~F.col("_has_all")
+    excess = F.col("_due").isNull() & ~F.col("_tier_all")
+    state = F.when(missing, "MISSING").when(excess, "EXCESS").otherwise("GRANTED")
     return joined.select(*keys, state.alias("entitlement"))
 
 
@@ -169,22 +172,22 @@ def request_log_rows(decisions: DataFrame) -> DataFrame:
 def rate_limit_audit(api_log: DataFrame, tenants: DataFrame, limits: DataFrame) -> DataFrame:
     """Tenant minutes and hours with more requests than the tier allows.
 
-    Hours are summed from the minute counts: the log is shuffled once.
+    Hours are summed from the minute counts: the log is shuffled once. A tenant or tier that nobody knows is allowed
+    nothing, so each of its windows is reported, without a tier.
     """
     minute = F.date_trunc("minute", "requested_at").cast("timestamp_ntz")
     minutes = api_log.groupBy("tenant_id", minute.alias("window_start")).agg(F.count(F.lit(1)).alias("requests"))
     hours = minutes.groupBy(
         "tenant_id", F.date_trunc("hour", "window_start").cast("timestamp_ntz").alias("window_start")
     ).agg(F.sum("requests").alias("requests"))
-    plan = tenants.join(limits, "tier").select("tenant_id", "tier", "max_requests_per_minute", "max_requests_per_hour")
+    plan = tenants.join(limits, "tier", "left").select("tenant_id", "tier", "max_requests_per_minute", "max_requests_per_hour")
 
     def over(windows: DataFrame, kind: str, limit: str) -> DataFrame:
         return (
-            windows.join(plan, "tenant_id")
-            .filter(F.col("requests") > F.col(limit))
-            .select(
-                "tenant_id", "tier", F.lit(kind).alias("window_kind"), "window_start", "requests", F.col(limit).alias("allowed")
-            )
+            windows.join(plan, "tenant_id", "left")
+            .withColumn("allowed", F.coalesce(limit, F.lit(0)))
+            .filter(F.col("requests") > F.col("allowed"))
+            .select("tenant_id", "tier", F.lit(kind).alias("window_kind"), "window_start", "requests", "allowed")
         )
 
     return over(minutes, "minute", "max_requests_per_minute").unionByName(over(hours, "hour", "max_requests_per_hour"))

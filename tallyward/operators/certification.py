@@ -54,5 +54,6 @@ def semantic_layer_scorecard(certs: DataFrame, as_of: date) -> DataFrame:
 
 def record_certification_event(audit: DataFrame, events: DataFrame, as_of: datetime) -> DataFrame:
     """Audit trail after the events are appended; an event without a time gets ``as_of``."""
-    stamped = events.withColumn("action_date", D.lit_ts(as_of))
+    own = F.col("action_date") if "action_date" in events.columns else F.lit(None)
+    stamped = events.withColumn("action_date", F.coalesce(own.cast("timestamp_ntz"), D.lit_ts(as_of)))
     return audit.unionByName(stamped)

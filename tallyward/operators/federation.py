@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import measures as M
@@ -12,19 +12,19 @@ from .governance import one_row
 def glossary_latest(versions: DataFrame) -> DataFrame:
     """The current definition of each term and the version it supersedes.
 
-    Both come from max aggregates: no window sorts all versions of a term in one task.
+    Distinct version numbers are few next to the rows that repeat them: they are reduced where the rows are read, and Spark keeps only the two
+    newest of a term in each task before a term's versions meet (a group limit on the rank). Counts combine the same way.
     """
-    latest = versions.groupBy("term").agg(
-        F.max(F.struct("version_id", "canonical_definition")).alias("_latest"), F.count(F.lit(1)).alias("versions")
+    place = F.row_number().over(Window.partitionBy("term").orderBy(F.desc_nulls_last("version_id")))
+    numbered = versions.groupBy("term", "version_id").agg(F.max("canonical_definition").alias("canonical_definition"))
+    newest = (
+        numbered.withColumn("_place", place).filter("_place <= 2").groupBy("term").agg(
+            F.max(F.when(F.col("_place") == 1, F.struct("version_id", "canonical_definition"))).alias("_latest"),
+            F.max(F.when(F.col("_place") == 2, F.col("version_id"))).alias("supersedes_version"),
+        )
     )
-    older = (
-        versions.select("term", "version_id")
-        .join(latest.select("term", F.col("_latest.version_id").alias("_top")), "term")
-        .filter(F.col("version_id") < F.col("_top"))
-        .groupBy("term")
-        .agg(F.max("version_id").alias("supersedes_version"))
-    )
-    return latest.join(older, "term", "left").select(
+    counts = versions.groupBy("term").agg(F.count(F.lit(1)).alias("versions"))
+    return newest.join(counts, "term").select(
         "term",
         F.col("_latest.version_id").alias("version_id"),
         F.col("_latest.canonical_definition").alias("canonical_definition"),

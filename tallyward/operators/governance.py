@@ -84,7 +84,7 @@ def change_velocity(log: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
-def request_queue_health(requests: DataFrame, as_of: datetime) -> DataFrame:
+def request_pipeline_health(requests: DataFrame, as_of: datetime) -> DataFrame:
     """Metric requests by status and urgency. An undecided request counts as breached even before
     its deadline, as the definition has it."""
     decided = F.coalesce(F.col("decision_date"), D.lit_ts(as_of))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +14,12 @@ from ..functions import dates as D
 from ..functions import measures as M
 
 
-def update_where(df: DataFrame, condition: Column, values: dict[str, Column]) -> DataFrame:
-    """Rows that meet the condition take the new values; a NULL condition leaves the row alone."""
+def update_where(df: DataFrame, condition: Column, values: dict[str, Column], only_changed: bool = False) -> DataFrame:
+    """Rows that meet the condition take the new values; a NULL condition leaves the row alone.
+
+    ``only_changed`` gives the delta instead: the rows that took a value other than the one they had, repeated rows as often as
+    they occur. It needs no comparison of the whole tables, so nothing is shuffled.
+    """
     flagged = df.withColumn("_hit", F.coalesce(condition, F.lit(False)))
 
     def typed(name: str, value: Column) -> Column:
@@ -21,12 +27,17 @@ def update_where(df: DataFrame, condition: Column, values: dict[str, Column]) ->
         value = value if isinstance(kind, T.ArrayType) else value.cast(kind)
         return F.when(F.col("_hit"), value).otherwise(F.col(name))
 
-    return flagged.withColumns({name: typed(name, value) for name, value in values.items()}).drop("_hit")
+    new = {name: typed(name, value) for name, value in values.items()}
+    if only_changed:
+        differs = reduce(or_, [~F.col(name).eqNullSafe(value) for name, value in new.items()])
+        flagged = flagged.filter(F.col("_hit") & differs)
+    return flagged.withColumns(new).drop("_hit")
 
 
 def changed(before: DataFrame, after: DataFrame) -> DataFrame:
-    """The rows of ``after`` that differ from ``before``: the delta to write."""
-    return after.select(*before.columns).subtract(before)
+    """The rows of ``after`` that ``before`` does not hold, repeated rows as often as they are new. For tables of any origin: it compares
+    whole rows, which shuffles both. An update knows its own delta (``only_changed``)."""
+    return after.select(*before.columns).exceptAll(before)
 
 
 def _windows(texts: DataFrame, names: DataFrame) -> DataFrame:
@@ -132,7 +143,7 @@ def auto_decertify_expired(cat: DataFrame, as_of: date, grace_days: int = 7) ->
     )
 
 
-def flag_zombies(cat: DataFrame, as_of: date, days: int = 60) -> DataFrame:
+def flag_zombies(cat: DataFrame, as_of: date, days: int = 60, only_changed: bool = False) -> DataFrame:
     """Tags certified metrics nobody queries. A metric never queried at all is not flagged."""
     condition = (
         (F.col("certification_status") == "CERTIFIED")
@@ -141,7 +152,7 @@ def flag_zombies(cat: DataFrame, as_of: date, days: int = 60) -> DataFrame:
         & ~M.has_tag(F.col("tags"), "ZOMBIE_CANDIDATE")
     )
     return update_where(
-        cat, condition, {"tags": M.tag(F.col("tags"), "ZOMBIE_CANDIDATE"), "updated_at": D.lit_ts(as_of)}
+        cat, condition, {"tags": M.tag(F.col("tags"), "ZOMBIE_CANDIDATE"), "updated_at": D.lit_ts(as_of)}, only_changed
     )
 
 

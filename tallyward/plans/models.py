@@ -45,8 +45,8 @@ REVENUE_METRICS = SemanticModel(
     ),
 )
 
-BOOKINGS_METRICS = SemanticModel(
-    name="bookings_metrics",
+PIPELINE_METRICS = SemanticModel(
+    name="pipeline_metrics",
     fact="deals",
     time=TimeDimension("deal_date"),
     dimensions=(
@@ -93,4 +93,4 @@ SUPPORT_METRICS = SemanticModel(
     ),
 )
 
-MODELS = {m.name: m for m in (FINANCE_REVENUE, REVENUE_METRICS, BOOKINGS_METRICS, CUSTOMER_HEALTH, SUPPORT_METRICS)}
+MODELS = {m.name: m for m in (FINANCE_REVENUE, REVENUE_METRICS, PIPELINE_METRICS, CUSTOMER_HEALTH, SUPPORT_METRICS)}

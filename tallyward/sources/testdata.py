@@ -1,7 +1,8 @@
 """Business tables derived from the driver's Parquet tables.
 
 Each function takes ``(spark, folder)`` and returns one table in the shape the operators
-expect. Only whole-table projections and joins are used: no row is dropped, and integer and
+expect. Whole tables are projected and joined. Dimensions with holes and views of one kind of row say so in their
+docstrings; facts, dimensions and catalogs keep every row. Integer and
 decimal arithmetic keeps every value reproducible by another engine. Columns that a query
 does not touch are pruned from the scan.
 """
@@ -43,7 +44,7 @@ def fct_revenue(spark: SparkSession, folder: str, customer: bool = True) -> Data
         "CASE l_linestatus WHEN 'F' THEN 'recognized' ELSE 'deferred' END AS recognition_status",
         "CASE l_returnflag WHEN 'R' THEN 'refund' WHEN 'A' THEN 'adjustment' ELSE 'none' END AS credit_type",
         "CAST(l_tax AS DECIMAL(4,2)) * CAST(l_extendedprice AS DECIMAL(12,2)) AS credit_amount_usd",
-    ).filter(f"recognized_date <= {_DAY}")
+    )
     if not customer:
         return lines
     buyers = table(spark, folder, "orders").selectExpr(
@@ -368,9 +369,9 @@ def domain_registry(spark: SparkSession, folder: str) -> DataFrame:
         "concat('steward_', n) AS steward_user",
         "n * 3 AS metric_count",
         "n % 5 AS semantic_view_count",
-        "n % 4 AS agent_count",
+        "CASE WHEN n % 9 <> 5 THEN n % 4 END AS agent_count",
         "CAST((n * 37) % 101 AS DECIMAL(5,2)) AS certification_rate",
-        "CAST(85 + n % 15 AS DECIMAL(5,2)) AS avg_data_quality",
+        "CASE WHEN n % 7 <> 3 THEN CAST(85 + n % 15 AS DECIMAL(5,2)) END AS avg_data_quality",
         """CASE n % 4 WHEN 0 THEN 'FOUNDATION' WHEN 1 THEN 'GROWTH' WHEN 2 THEN 'SCALE'
              ELSE 'ENTERPRISE' END AS governance_maturity""",
         f"date_sub({_DAY}, CAST(n AS INT)) AS last_governance_review",
@@ -432,8 +433,7 @@ def query_history(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def business_glossary(spark: SparkSession, folder: str) -> DataFrame:
-    """Glossary terms exist for the metrics of three product types only."""
-    return table(spark, folder, "part").filter("p_type IN ('ECONOMY', 'SMALL', 'STANDARD')").selectExpr(
+    return table(spark, folder, "part").selectExpr(
         "concat('metric_', p_partkey) AS term",
         "concat('Definition of ', p_name) AS canonical_definition",
         "concat('Default to ', p_brand) AS disambiguation_rules",
@@ -577,11 +577,11 @@ def tenant_revenue(spark: SparkSession, folder: str) -> DataFrame:
         .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select("c_custkey", "r_name")
     )
+    buyers = orders.join(regions, F.col("o_custkey") == F.col("c_custkey"))
     return (
         table(spark, folder, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(regions, F.col("o_custkey") == F.col("c_custkey"))
         .selectExpr(
             "concat('TNT-', lpad(CAST(1 + o_custkey % 3 AS STRING), 6, '0')) AS tenant_id",
             "CAST(l_shipdate AS DATE) AS revenue_date",
@@ -637,7 +637,7 @@ def tenants(spark: SparkSession, folder: str) -> DataFrame:
              ELSE 'starter' END AS tier""",
         """CASE s_suppkey % 4 WHEN 0 THEN array('*')
              WHEN 1 THEN array('view', 'click', concat('metric_', s_suppkey), 'net_dollar_retention')
-             WHEN 2 THEN array('active_users', 'view', concat('metric_', s_suppkey * 5))
+             WHEN 2 THEN CASE s_suppkey % 8 WHEN 6 THEN array('*') ELSE array('active_users', 'view', concat('metric_', s_suppkey * 5)) END
              ELSE CAST(array() AS ARRAY<STRING>) END AS metrics_enabled""",
         "s_suppkey % 7 <> 6 AS is_active",
     )
@@ -671,7 +671,8 @@ def api_request_log(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").selectExpr(
         "event_id AS request_id",
         "event_type AS metric_requested",
-        _EVENT_TENANT,
+        # Some requests come from a tenant that is not registered.
+        "CASE WHEN user_id % 50 = 7 THEN 'TNT-UNKNOWN' ELSE concat('TNT-', lpad(CAST(1 + user_id % 3 AS STRING), 6, '0')) END AS tenant_id",
         "CASE event_id % 10 WHEN 0 THEN 404 WHEN 1 THEN 403 ELSE 200 END AS response_status",
         "ts AS requested_at",
     )

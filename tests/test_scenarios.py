@@ -73,7 +73,7 @@ def test_discovery_offers_certified_and_pending_metrics(spark):
 
 
 def test_one_pending_request(spark):
-    row = one(governance.request_queue_health(requests(spark), NOW))
+    row = one(governance.request_pipeline_health(requests(spark), NOW))
     assert (row.status, row.request_count, row.sla_breached) == ("SUBMITTED", 1, 1)
 
 

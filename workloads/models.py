@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tallyward.plans.model import multi_domain_query, pass_through
 from tallyward.plans.models import (
-    BOOKINGS_METRICS,
+    PIPELINE_METRICS,
     CUSTOMER_HEALTH,
     FINANCE_REVENUE,
     REVENUE_METRICS,
@@ -50,8 +50,8 @@ QUERIES = {
             "year",
         )
     ),
-    "model_bookings_metrics": query(
-        lambda s, d: BOOKINGS_METRICS.query(
+    "model_pipeline_metrics": query(
+        lambda s, d: PIPELINE_METRICS.query(
             {"deals": t.customer_orders(s, d)},
             ["total_bookings", "pipeline_value", "win_rate", "deal_size"],
             ["rep_name"],
@@ -86,7 +86,7 @@ QUERIES = {
             [
                 (FINANCE_REVENUE, _star(s, d), ["total_revenue", "event_count"]),
                 (CUSTOMER_HEALTH, {"customer_health_data": t.customer_health_data(s, d)}, ["health_score", "churn_risk"]),
-                (BOOKINGS_METRICS, {"deals": t.customer_orders(s, d)}, ["total_bookings", "deal_count"]),
+                (PIPELINE_METRICS, {"deals": t.customer_orders(s, d)}, ["total_bookings", "deal_count"]),
             ],
             ["customer_id"],
         )
@@ -117,7 +117,7 @@ SELECT product_line, CAST(date_trunc('year', transaction_date) AS DATE) AS perio
        CAST(sum(recognized_revenue) AS DOUBLE) AS recognized_revenue,
        CAST(sum(annual_recurring_revenue) AS DOUBLE) AS annual_recurring_revenue
 FROM revenue_data GROUP BY 1, 2""",
-    "model_bookings_metrics": """
+    "model_pipeline_metrics": """
 SELECT rep_name, CAST(date_trunc('quarter', deal_date) AS DATE) AS period_quarter,
        CAST(sum(total_bookings) AS DOUBLE) AS total_bookings, CAST(sum(pipeline_value) AS DOUBLE) AS pipeline_value,
        CAST(count(*) FILTER (WHERE stage = 'closed_won') AS DOUBLE) / count(*) AS win_rate,

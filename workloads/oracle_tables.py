@@ -11,8 +11,7 @@ SELECT l_orderkey AS contract_id, concat('C', o_custkey) AS customer_id, concat(
        CASE l_linestatus WHEN 'F' THEN 'recognized' ELSE 'deferred' END AS recognition_status,
        CASE l_returnflag WHEN 'R' THEN 'refund' WHEN 'A' THEN 'adjustment' ELSE 'none' END AS credit_type,
        CAST(l_tax AS DECIMAL(4,2)) * CAST(l_extendedprice AS DECIMAL(12,2)) AS credit_amount_usd
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-WHERE CAST(l_shipdate AS DATE) <= DATE '2001-07-15'""",
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""",
     "dim_customer": """
 SELECT concat('C', c_custkey) AS customer_id, c_name AS customer_name,
        CASE c_custkey % 3 WHEN 0 THEN 'Enterprise' WHEN 1 THEN 'Mid-Market' ELSE 'SMB' END AS segment,
@@ -170,8 +169,9 @@ SELECT concat('M', p_partkey) AS metric_id,
 FROM part""",
     "domain_registry": """
 SELECT concat('D', n) AS domain_id, concat('Brand ', n) AS domain_name, concat('DOMAIN_STEWARD_', n) AS steward_role,
-       concat('steward_', n) AS steward_user, n * 3 AS metric_count, n % 5 AS semantic_view_count, n % 4 AS agent_count,
-       CAST((n * 37) % 101 AS DECIMAL(5,2)) AS certification_rate, CAST(85 + n % 15 AS DECIMAL(5,2)) AS avg_data_quality,
+       concat('steward_', n) AS steward_user, n * 3 AS metric_count, n % 5 AS semantic_view_count,
+       CASE WHEN n % 9 <> 5 THEN n % 4 END AS agent_count,
+       CAST((n * 37) % 101 AS DECIMAL(5,2)) AS certification_rate, CASE WHEN n % 7 <> 3 THEN CAST(85 + n % 15 AS DECIMAL(5,2)) END AS avg_data_quality,
        CASE n % 4 WHEN 0 THEN 'FOUNDATION' WHEN 1 THEN 'GROWTH' WHEN 2 THEN 'SCALE' ELSE 'ENTERPRISE' END AS governance_maturity,
        DATE '2001-07-15' - CAST(n AS INTEGER) AS last_governance_review,
        DATE '2001-07-15' + CAST(n - 12 AS INTEGER) AS next_review_due, n % 6 <> 0 AS is_active
@@ -208,7 +208,7 @@ FROM events""",
     "business_glossary": """
 SELECT concat('metric_', p_partkey) AS term, concat('Definition of ', p_name) AS canonical_definition,
        concat('Default to ', p_brand) AS disambiguation_rules, [p_name, p_type] AS commonly_confused_with
-FROM part WHERE p_type IN ('ECONOMY', 'SMALL', 'STANDARD')""",
+FROM part""",
     "raci_matrix": """
 SELECT concat(p_name, ' ', p_partkey) AS operation_name, p_type AS operation_category, p_size AS sla_hours,
        p_partkey % 3 <> 0 AS requires_approval
@@ -299,7 +299,7 @@ SELECT concat('TNT-', lpad(CAST(s_suppkey + 1 AS VARCHAR), 6, '0')) AS tenant_id
        CASE s_suppkey % 4 WHEN 0 THEN 'enterprise' WHEN 1 THEN 'professional' WHEN 2 THEN 'free' ELSE 'starter' END AS tier,
        CASE s_suppkey % 4 WHEN 0 THEN ['*']
          WHEN 1 THEN ['view', 'click', concat('metric_', s_suppkey), 'net_dollar_retention']
-         WHEN 2 THEN ['active_users', 'view', concat('metric_', s_suppkey * 5)]
+         WHEN 2 THEN CASE s_suppkey % 8 WHEN 6 THEN ['*'] ELSE ['active_users', 'view', concat('metric_', s_suppkey * 5)] END
          ELSE CAST([] AS VARCHAR[]) END AS metrics_enabled,
        s_suppkey % 7 <> 6 AS is_active
 FROM supplier""",
@@ -315,7 +315,8 @@ SELECT event_id AS request_id, concat('metric_', event_id % 2500) AS metric_name
        concat('TNT-', lpad(CAST(1 + user_id % 130 AS VARCHAR), 6, '0')) AS tenant_id
 FROM events""",
     "api_request_log": f"""
-SELECT event_id AS request_id, event_type AS metric_requested, {_TENANT},
+SELECT event_id AS request_id, event_type AS metric_requested,
+       CASE WHEN user_id % 50 = 7 THEN 'TNT-UNKNOWN' ELSE concat('TNT-', lpad(CAST(1 + user_id % 3 AS VARCHAR), 6, '0')) END AS tenant_id,
        CASE event_id % 10 WHEN 0 THEN 404 WHEN 1 THEN 403 ELSE 200 END AS response_status, ts AS requested_at
 FROM events""",
     "user_region_mapping": """

@@ -27,17 +27,6 @@ def _decisions(s, d):
     return access.query_metric_batch(t.metric_api_requests(s, d), t.metric_catalog(s, d), t.tenants(s, d), seeds.rate_limits(s))
 
 
-def _tier_metrics(s, d):
-    """Promised metrics of each tier, taken from what its tenants have enabled most."""
-    return (
-        t.tenants(s, d)
-        .select("tier", F.explode("metrics_enabled").alias("metric_name"))
-        .filter(~F.col("metric_name").startswith("metric_"))
-        .distinct()
-        .withColumn("is_included", F.lit(True))
-    )
-
-
 def _summary(s, d):
     return tenancy.bi_revenue_summary(t.tenant_revenue(s, d), NOW)
 
@@ -103,7 +92,7 @@ QUERIES = {
     "can_access_metric": query(
         lambda s, d: access.can_access_metric(t.access_requests(s, d), t.tenants(s, d), t.tenant_users(s, d))
     ),
-    "tier_entitlements": query(lambda s, d: access.tier_entitlements(t.tenants(s, d), _tier_metrics(s, d))),
+    "tier_entitlements": query(lambda s, d: access.tier_entitlements(t.tenants(s, d), seeds.tier_metrics(s))),
     "query_metric_batch": query(_decisions),
     "query_metric_log": query(lambda s, d: access.request_log_rows(_decisions(s, d))),
     "rate_limit_audit": query(lambda s, d: access.rate_limit_audit(t.api_request_log(s, d), t.tenants(s, d), _limits(s))),
@@ -171,6 +160,8 @@ x AS (SELECT r.*, CASE WHEN NOT EXISTS (SELECT 1 FROM metric_catalog c WHERE c.m
                        ELSE 200 END AS status, n.tier, l.rpm
       FROM metric_api_requests r LEFT JOIN tenants n ON n.tenant_id = r.tenant_id LEFT JOIN limits l ON l.tier = n.tier)"""
 
+_TIERS = ", ".join(f"('{tier}', '{metric}')" for tier, metrics in seeds.TIER_METRICS.items() for metric in metrics)
+
 ORACLE = {
     "tenant_isolation": f"""
 SELECT tenant_id, revenue_date, product_line, region, CAST(amount_usd AS DOUBLE) AS amount_usd, customer_id
@@ -184,12 +175,14 @@ SELECT r.*, EXISTS (SELECT 1 FROM tenants n JOIN tenant_users u ON n.tenant_id =
                     WHERE u.user_email = r.user_email AND n.is_active
                       AND (list_contains(n.metrics_enabled, r.metric_name) OR list_contains(n.metrics_enabled, '*'))) AS can_access
 FROM access_requests r""",
-    "tier_entitlements": """
-WITH e AS (SELECT DISTINCT tenant_id, tier, unnest(metrics_enabled) AS metric_name FROM tenants),
-     tm AS (SELECT DISTINCT tier, metric_name FROM e WHERE NOT starts_with(metric_name, 'metric_')),
+    "tier_entitlements": f"""
+WITH tm(tier, metric_name) AS (VALUES {_TIERS}),
+     e AS (SELECT DISTINCT tenant_id, tier, unnest(metrics_enabled) AS metric_name FROM tenants),
      due AS (SELECT n.tenant_id, n.tier, tm.metric_name FROM tenants n JOIN tm ON n.tier = tm.tier)
 SELECT tenant_id, tier, metric_name,
-       CASE WHEN e.tenant_id IS NULL THEN 'MISSING' WHEN due.tenant_id IS NULL THEN 'EXCESS' ELSE 'GRANTED' END AS entitlement
+       CASE WHEN e.tenant_id IS NULL AND NOT EXISTS (SELECT 1 FROM e a WHERE a.tenant_id = due.tenant_id AND a.metric_name = '*') THEN 'MISSING'
+            WHEN due.tenant_id IS NULL AND NOT EXISTS (SELECT 1 FROM tm WHERE tm.tier = e.tier AND tm.metric_name = '*') THEN 'EXCESS'
+            ELSE 'GRANTED' END AS entitlement
 FROM e FULL OUTER JOIN due USING (tenant_id, tier, metric_name)""",
     "query_metric_batch": f"""
 WITH {_DECIDE}
@@ -208,11 +201,11 @@ SELECT request_id, '/v1/metrics/' || metric_name AS endpoint, 'GET' AS method, m
 FROM x""",
     "rate_limit_audit": """
 WITH m AS (SELECT tenant_id, 'minute' AS window_kind, date_trunc('minute', requested_at) AS window_start, count(*) AS requests,
-                  CAST(2 AS BIGINT) AS allowed FROM api_request_log GROUP BY 1, 2, 3
+                  CASE WHEN tenant_id <> 'TNT-UNKNOWN' THEN 2 ELSE 0 END AS allowed FROM api_request_log GROUP BY 1, 2, 3
            UNION ALL
-           SELECT tenant_id, 'hour', date_trunc('hour', requested_at), count(*), 6 FROM api_request_log GROUP BY 1, 2, 3)
-SELECT m.tenant_id, n.tier, window_kind, window_start, requests, allowed
-FROM m JOIN tenants n ON m.tenant_id = n.tenant_id WHERE requests > allowed""",
+           SELECT tenant_id, 'hour', date_trunc('hour', requested_at), count(*), CASE WHEN tenant_id <> 'TNT-UNKNOWN' THEN 6 ELSE 0 END FROM api_request_log GROUP BY 1, 2, 3)
+SELECT m.tenant_id, n.tier, window_kind, window_start, requests, CAST(allowed AS BIGINT) AS allowed
+FROM m LEFT JOIN tenants n ON m.tenant_id = n.tenant_id WHERE requests > allowed""",
     "api_status_summary": """
 SELECT CAST(response_status AS BIGINT) AS response_status, count(*) AS request_count FROM api_request_log GROUP BY 1""",
     "bi_revenue_summary": _SUMMARY,
