@@ -41,7 +41,7 @@ _FINANCE_PHRASES = [
     ("recurring revenue", "annual_recurring_revenue", _REVENUE),
     ("subscription revenue", "annual_recurring_revenue", _REVENUE),
     ("net retention", "net_dollar_retention", _REVENUE),
-    ("bookings", "total_bookings", _REVENUE),
+    ("bookings", "total_bookings", _BOOKINGS),  # the view that declares it
 ]
 _SALES_PHRASES = [
     ("pipeline", "pipeline_value", _BOOKINGS),
@@ -171,3 +171,12 @@ def bind_questions(
         F.col("_stop.boundary_type").alias("boundary_type"),
         behavior.alias("behavior"),
     )
+
+
+def bound_targets(bound: DataFrame, declared: DataFrame) -> DataFrame:
+    """Questions by resolved view and metric, and whether a model declares that pair (``model``, ``metric``)."""
+    known = declared.select(F.col("model").alias("resolved_view"), F.col("metric").alias("resolved_metric")).distinct()
+    counts = bound.filter(F.col("resolved_metric").isNotNull()).groupBy("resolved_view", "resolved_metric").agg(F.count(F.lit(1)).alias("questions"))
+    return counts.join(known.withColumn("_known", F.lit(True)), ["resolved_view", "resolved_metric"], "left").select(
+        "resolved_view", "resolved_metric", "questions", F.coalesce("_known", F.lit(False)).alias("declared")
+    )

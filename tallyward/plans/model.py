@@ -127,7 +127,8 @@ class SemanticModel:
         for table, rel in joined.items():
             columns = [F.col(d.column).alias(f"_d_{d.name}") for d in dims if d.table == table]
             side = frames[table].select(F.col(rel.column).alias(f"_k_{rel.fact_column}"), *columns)
-            cells = cells.join(side, f"_k_{rel.fact_column}")
+            # A fact without its dimension row keeps counting, under a null label.
+            cells = cells.join(side, f"_k_{rel.fact_column}", "left")
         if dimension_filter is not None:
             cells = cells.select("*", *[F.col(f"_d_{d.name}").alias(d.name) for d in dims]).filter(dimension_filter)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+
 from .model import Dimension, Metric, Relationship, SemanticModel, TimeDimension
 
 FINANCE_REVENUE = SemanticModel(
@@ -34,7 +36,9 @@ REVENUE_METRICS = SemanticModel(
     name="revenue_metrics_v2",
     fact="revenue_data",
     time=TimeDimension("transaction_date"),
+    relationships=(Relationship("dim_customer", "customer_id", "customer_id"),),
     dimensions=(
+        Dimension("region", "region", "dim_customer"),
         Dimension("customer_id", "customer_id"),
         Dimension("product_line", "product_line"),
         Dimension("transaction_date", "transaction_date"),
@@ -42,6 +46,7 @@ REVENUE_METRICS = SemanticModel(
     metrics=(
         Metric("recognized_revenue", "sum", "recognized_revenue"),
         Metric("annual_recurring_revenue", "sum", "annual_recurring_revenue"),
+        Metric("net_dollar_retention", "avg", "net_dollar_retention"),
     ),
 )
 
@@ -49,7 +54,10 @@ PIPELINE_METRICS = SemanticModel(
     name="pipeline_metrics",
     fact="deals",
     time=TimeDimension("deal_date"),
+    relationships=(Relationship("dim_customer", "customer_id", "customer_id"),),
     dimensions=(
+        Dimension("deal_date", "deal_date"),
+        Dimension("region", "region", "dim_customer"),
         Dimension("stage", "stage"),
         Dimension("rep_name", "rep_name"),
         Dimension("customer_id", "customer_id"),
@@ -68,12 +76,17 @@ CUSTOMER_HEALTH = SemanticModel(
     name="customer_health",
     fact="customer_health_data",
     time=TimeDimension("last_activity_date"),
-    dimensions=(Dimension("customer_id", "customer_id"), Dimension("segment", "segment")),
+    dimensions=(
+        Dimension("customer_id", "customer_id"),
+        Dimension("segment", "segment"),
+        Dimension("last_activity_date", "last_activity_date"),
+    ),
     metrics=(
         Metric("health_score", "avg", "health_score"),
         Metric("nps_score", "avg", "nps_score"),
         Metric("churn_risk", "avg", "churn_risk"),
         Metric("at_risk_customers", "count_distinct", "customer_id", "churn_risk > 0.7"),
+        Metric("churned_customer_count", "count_distinct", "customer_id", "contract_status = 'churned'"),
     ),
 )
 
@@ -82,6 +95,8 @@ SUPPORT_METRICS = SemanticModel(
     fact="support_data",
     time=TimeDimension("created_date"),
     dimensions=(
+        Dimension("ticket_id", "ticket_id"),
+        Dimension("created_date", "created_date"),
         Dimension("customer_id", "customer_id"),
         Dimension("category", "category"),
         Dimension("priority", "priority"),
@@ -94,3 +109,8 @@ SUPPORT_METRICS = SemanticModel(
 )
 
 MODELS = {m.name: m for m in (FINANCE_REVENUE, REVENUE_METRICS, PIPELINE_METRICS, CUSTOMER_HEALTH, SUPPORT_METRICS)}
+
+
+def declared_metrics(spark: SparkSession) -> DataFrame:
+    """(model, metric) for every metric that a model declares."""
+    return spark.createDataFrame([(m.name, x.name) for m in MODELS.values() for x in m.metrics], "model string, metric string")

@@ -108,7 +108,7 @@ def agg_monthly_churn(spark: SparkSession, folder: str) -> DataFrame:
 
 def fct_costs(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").join(
-        table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey")
+        table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"), "left"
     ).selectExpr(
         "CAST(l_shipdate AS DATE) AS cost_date",
         "p_type AS cost_category",
@@ -171,10 +171,11 @@ def customer_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def revenue_data(spark: SparkSession, folder: str) -> DataFrame:
-    return fct_revenue(spark, folder).join(dim_product(spark, folder), "product_id").selectExpr(
+    return fct_revenue(spark, folder).join(dim_product(spark, folder), "product_id", "left").selectExpr(
         "recognized_date AS transaction_date",
         "amount_usd AS recognized_revenue",
         "CASE WHEN is_recurring THEN amount_usd * 12 ELSE 0 END AS annual_recurring_revenue",
+        "CAST(0.8 + contract_id % 50 * 0.01 AS DECIMAL(10,4)) AS net_dollar_retention",
         "customer_id",
         "product_line",
     )
@@ -188,6 +189,7 @@ def customer_health_data(spark: SparkSession, folder: str) -> DataFrame:
         "CAST((CAST(substr(customer_id, 2) AS BIGINT) * 7) % 100 * 0.01 AS DECIMAL(5,4)) AS churn_risk",
         "segment",
         "last_engagement_date AS last_activity_date",
+        "contract_status",
     )
 
 

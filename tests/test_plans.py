@@ -7,7 +7,7 @@ import pytest
 from workloads import registry
 from plan_audit import physical_plan
 
-WRITERS = {"page_load_metrics_stream", "daily_revenue_metrics_incremental", "effective_roles"}
+WRITERS = {"page_load_metrics_stream", "daily_revenue_metrics_incremental", "effective_roles", "appended_request_log", "published_catalog"}
 PLAIN = sorted(n for n in registry.queries() if n not in WRITERS and not n.startswith("governance_daily"))
 
 
@@ -53,3 +53,17 @@ def test_time_bounds_reach_the_scan(plans, name, column):
 @pytest.mark.parametrize("name", ["total_revenue", "mrr", "arr", "qoq_growth", "services_revenue", "orphan_check_product"])
 def test_revenue_without_customers_reads_no_orders(plans, name):
     assert "orders.parquet" not in plans[name]
+
+
+@pytest.mark.parametrize("name, most", [("region_access", 1), ("glossary_latest", 2), ("flag_zombies_changed", 1)])
+def test_scans_of_the_input(plans, name, most):
+    biggest = {"region_access": "customer", "glossary_latest": "nation", "flag_zombies_changed": "part"}[name]
+    assert plans[name].count(f"{biggest}.parquet") <= most
+
+
+def test_an_update_knows_its_delta_without_a_shuffle(plans):
+    assert "Exchange" not in plans["flag_zombies_changed"]
+
+
+def test_versions_of_a_term_are_limited_before_they_meet(plans):
+    assert re.search(r"WindowGroupLimit.*Exchange.*WindowGroupLimit", plans["glossary_latest"], re.DOTALL)

@@ -39,6 +39,18 @@ def test_many_batches_and_a_restart_equal_the_batch(spark, sf, folder):
         assert _as_rows(got) == _as_rows(page_loads.page_load_metrics(events, NOW, hours))
 
 
+def test_default_settings_lose_nothing_inside_the_day(spark, sf, folder):
+    events = t.page_events(spark, sf)
+    events.orderBy(F.hash("event_id")).repartition(6).write.parquet(f"{folder}/in")
+    raw = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    zoned = raw.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+    stream = page_loads.start_page_load_stream(zoned, f"{folder}/out", f"{folder}/ckpt", trigger={"availableNow": True})
+    stream.awaitTermination()
+    got = page_loads.read_page_load_metrics(spark, f"{folder}/out", NOW)
+    assert _as_rows(got) == _as_rows(page_loads.page_load_metrics(events, NOW))
+    assert page_loads.late_rows(stream) > 0  # a month in six unordered files: what is older than a day behind is counted
+
+
 def test_rerunning_without_new_files_changes_nothing(spark, sf, folder):
     t.page_events(spark, sf).coalesce(1).write.parquet(f"{folder}/in")
     _stream(spark, f"{folder}/in", folder).awaitTermination()

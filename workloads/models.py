@@ -44,24 +44,24 @@ QUERIES = {
     ),
     "model_revenue_metrics_v2": query(
         lambda s, d: REVENUE_METRICS.query(
-            {"revenue_data": t.revenue_data(s, d)},
-            ["recognized_revenue", "annual_recurring_revenue"],
-            ["product_line"],
+            {"revenue_data": t.revenue_data(s, d), "dim_customer": t.dim_customer(s, d)},
+            ["recognized_revenue", "annual_recurring_revenue", "net_dollar_retention"],
+            ["product_line", "region"],
             "year",
         )
     ),
     "model_pipeline_metrics": query(
         lambda s, d: PIPELINE_METRICS.query(
-            {"deals": t.customer_orders(s, d)},
+            {"deals": t.customer_orders(s, d), "dim_customer": t.dim_customer(s, d)},
             ["total_bookings", "pipeline_value", "win_rate", "deal_size"],
-            ["rep_name"],
+            ["rep_name", "region"],
             "quarter",
         )
     ),
     "model_customer_health": query(
         lambda s, d: CUSTOMER_HEALTH.query(
             {"customer_health_data": t.customer_health_data(s, d)},
-            ["health_score", "nps_score", "churn_risk", "at_risk_customers"],
+            ["health_score", "nps_score", "churn_risk", "at_risk_customers", "churned_customer_count"],
             ["segment"],
             "month",
         )
@@ -113,22 +113,24 @@ WHERE recognized_date >= DATE '2000-01-01' AND product_line <> 'PROMO' GROUP BY
     "model_finance_revenue_total": """
 SELECT CAST(sum(amount_usd) AS DOUBLE) AS total_revenue, count(DISTINCT customer_id) AS customer_count FROM fct_revenue""",
     "model_revenue_metrics_v2": """
-SELECT product_line, CAST(date_trunc('year', transaction_date) AS DATE) AS period_year,
+SELECT product_line, region, CAST(date_trunc('year', transaction_date) AS DATE) AS period_year,
        CAST(sum(recognized_revenue) AS DOUBLE) AS recognized_revenue,
-       CAST(sum(annual_recurring_revenue) AS DOUBLE) AS annual_recurring_revenue
-FROM revenue_data GROUP BY 1, 2""",
+       CAST(sum(annual_recurring_revenue) AS DOUBLE) AS annual_recurring_revenue,
+       CAST(sum(net_dollar_retention) AS DOUBLE) / count(net_dollar_retention) AS net_dollar_retention
+FROM revenue_data r LEFT JOIN dim_customer c ON r.customer_id = c.customer_id GROUP BY 1, 2, 3""",
     "model_pipeline_metrics": """
-SELECT rep_name, CAST(date_trunc('quarter', deal_date) AS DATE) AS period_quarter,
+SELECT rep_name, region, CAST(date_trunc('quarter', deal_date) AS DATE) AS period_quarter,
        CAST(sum(total_bookings) AS DOUBLE) AS total_bookings, CAST(sum(pipeline_value) AS DOUBLE) AS pipeline_value,
        CAST(count(*) FILTER (WHERE stage = 'closed_won') AS DOUBLE) / count(*) AS win_rate,
        CAST(sum(total_bookings) AS DOUBLE) / count(*) AS deal_size
-FROM customer_orders GROUP BY 1, 2""",
+FROM customer_orders o LEFT JOIN dim_customer c ON o.customer_id = c.customer_id GROUP BY 1, 2, 3""",
     "model_customer_health": """
 SELECT segment, CAST(date_trunc('month', last_activity_date) AS DATE) AS period_month,
        CAST(sum(health_score) AS DOUBLE) / count(health_score) AS health_score,
        CAST(sum(nps_score) AS DOUBLE) / count(nps_score) AS nps_score,
        CAST(sum(churn_risk) AS DOUBLE) / count(churn_risk) AS churn_risk,
-       count(DISTINCT customer_id) FILTER (WHERE churn_risk > 0.7) AS at_risk_customers
+       count(DISTINCT customer_id) FILTER (WHERE churn_risk > 0.7) AS at_risk_customers,
+       count(DISTINCT customer_id) FILTER (WHERE contract_status = 'churned') AS churned_customer_count
 FROM customer_health_data GROUP BY 1, 2""",
     "model_support_metrics": """
 SELECT priority, category, CAST(date_trunc('week', created_date) AS DATE) AS period_week,

@@ -36,7 +36,7 @@ FROM orders GROUP BY 1""",
     "fct_costs": """
 SELECT CAST(l_shipdate AS DATE) AS cost_date, p_type AS cost_category,
        CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS amount_usd
-FROM lineitem JOIN part ON l_partkey = p_partkey""",
+FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
     "monthly_metrics": """
 SELECT CAST(date_trunc('month', recognized_date) AS DATE) AS metric_month,
        coalesce(sum(amount_usd) FILTER (WHERE is_recurring), 0) * 12
@@ -67,13 +67,15 @@ SELECT CAST(o_orderdate AS DATE) AS deal_date,
 FROM orders""",
     "revenue_data": """
 SELECT recognized_date AS transaction_date, amount_usd AS recognized_revenue,
-       CASE WHEN is_recurring THEN amount_usd * 12 ELSE 0 END AS annual_recurring_revenue, customer_id, product_line
-FROM fct_revenue JOIN dim_product USING (product_id)""",
+       CASE WHEN is_recurring THEN amount_usd * 12 ELSE 0 END AS annual_recurring_revenue,
+       CAST(0.8 + contract_id % 50 * 0.01 AS DECIMAL(10,4)) AS net_dollar_retention, customer_id, product_line
+FROM fct_revenue LEFT JOIN dim_product USING (product_id)""",
     "customer_health_data": """
 SELECT concat('C', c_custkey) AS customer_id, CASE WHEN c_custkey % 50 <> 1 THEN (c_custkey * 37) % 101 END AS health_score,
        c_custkey % 11 AS nps_score, CAST((c_custkey * 7) % 100 * 0.01 AS DECIMAL(5,4)) AS churn_risk,
        CASE c_custkey % 3 WHEN 0 THEN 'Enterprise' WHEN 1 THEN 'Mid-Market' ELSE 'SMB' END AS segment,
-       DATE '2001-07-15' - CAST(c_custkey % 90 AS INTEGER) AS last_activity_date
+       DATE '2001-07-15' - CAST(c_custkey % 90 AS INTEGER) AS last_activity_date,
+       CASE WHEN c_custkey % 10 = 0 THEN 'churned' ELSE 'active' END AS contract_status
 FROM customer""",
     "support_data": """
 SELECT concat('T', o_orderkey) AS ticket_id, CAST(o_orderdate AS DATE) AS created_date,

@@ -2,6 +2,7 @@
 
 from tallyward.context import Principal
 from tallyward.operators import access, binding, telemetry
+from tallyward.plans import models
 from tallyward.sources import testdata as t
 
 from .common import oracle, query, rounded, share
@@ -30,6 +31,7 @@ QUERIES = {
     "test_inventory_governance": query(lambda s, d: telemetry.test_inventory_governance(t.answer_tests(s, d))),
     "test_run_status": query(lambda s, d: telemetry.test_run_status(t.answer_tests(s, d))),
     "bind_questions": query(lambda s, d: binding.bind_questions(t.questions(s, d))),
+    "bound_targets": query(lambda s, d: binding.bound_targets(binding.bind_questions(t.questions(s, d)), models.declared_metrics(s))),
     "audit_access_own_role": query(lambda s, d: access.audit_access(t.answer_log(s, d), ANALYST)),
     "audit_access_auditor": query(lambda s, d: access.audit_access(t.answer_log(s, d), AUDITOR)),
     "region_access": query(
@@ -181,4 +183,9 @@ FROM w LEFT JOIN best b ON w.question_id = b.question_id LEFT JOIN stops s ON w.
 SELECT customer_id, region, segment FROM dim_customer
 WHERE region IN (SELECT allowed_region FROM user_region_mapping WHERE user_name = 'manager_3') OR region = 'ALL'""",
 }
+_DECLARED = _values([(m.name, x.name) for m in models.MODELS.values() for x in m.metrics])
+ORACLE["bound_targets"] = f"""
+SELECT resolved_view, resolved_metric, count(*) AS questions,
+       (resolved_view, resolved_metric) IN (SELECT (m, x) FROM (VALUES {_DECLARED}) k(m, x)) AS declared
+FROM ({ORACLE["bind_questions"]}) WHERE resolved_metric IS NOT NULL GROUP BY 1, 2"""
 ORACLE = {name: oracle(sql) for name, sql in ORACLE.items()}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyward.context import Principal, scratch_path
 from tallyward.operators import access, federation, tenancy
-from tallyward.sources import seeds
+from tallyward.sources import seeds, tables
 from tallyward.sources import testdata as t
 from tallyward.streaming import page_loads, revenue_refresh
 
@@ -52,6 +52,16 @@ def _page_load_stream(s, d):
     return _rounded(page_loads.read_page_load_metrics(s, f"{out}/data", EVENT_TIME))
 
 
+LOGGED = ["endpoint", "method", "metric_requested", "tenant_id", "response_status", "response_time_ms", "served_from"]
+
+
+def _appended_log(s, d):
+    """The request log as it reads after being appended to its table."""
+    root, name = scratch_path(s, "log"), "multi_tenant.semantic.api_request_log"
+    tables.append_rows(access.request_log_rows(_decisions(s, d)).select(LOGGED), root, name, NOW)
+    return tables.read_table(s, root, name).select(LOGGED)
+
+
 def _incremental(s, d):
     out = scratch_path(s, "revenue-cells")
     rev, cust = t.fct_revenue(s, d), t.dim_customer(s, d)
@@ -95,6 +105,7 @@ QUERIES = {
     "tier_entitlements": query(lambda s, d: access.tier_entitlements(t.tenants(s, d), seeds.tier_metrics(s))),
     "query_metric_batch": query(_decisions),
     "query_metric_log": query(lambda s, d: access.request_log_rows(_decisions(s, d))),
+    "appended_request_log": query(_appended_log),
     "rate_limit_audit": query(lambda s, d: access.rate_limit_audit(t.api_request_log(s, d), t.tenants(s, d), _limits(s))),
     "api_status_summary": query(lambda s, d: access.api_status_summary(t.api_request_log(s, d))),
     "bi_revenue_summary": query(_summary),
@@ -271,5 +282,6 @@ SELECT 'HUB' AS node, 'governance' AS database_name,
        (SELECT max(version_id) FROM glossary_versions) AS glossary_version,
        CAST(0 AS BIGINT) AS replication_lag_seconds, 'PRIMARY' AS replication_role""",
 }
+ORACLE["appended_request_log"] = f"WITH {_DECIDE.strip()}, y AS ({ORACLE['query_metric_log'].split(_DECIDE)[1]}) SELECT {', '.join(LOGGED)} FROM y"
 ORACLE = {name: oracle(sql) for name, sql in ORACLE.items()}
 ORACLE["daily_revenue_metrics_incremental"] = METRICS_ORACLE["daily_revenue_metrics"]
