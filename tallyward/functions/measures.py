@@ -8,11 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
-    """Division that yields NULL, not an error, on a zero denominator."""
-    return numerator / F.nullif(denominator, F.lit(0).cast("bigint"))
-
-
 def pct(part: Column, whole: Column, digits: int = 1) -> Column:
     """Share of two counts in percent. Decimal arithmetic keeps half-way rounding exact."""
     return F.round(
@@ -58,10 +53,6 @@ def under(value: Column, steps: Sequence[tuple[float, str]], otherwise: str | No
     return out if otherwise is None else out.otherwise(otherwise)
 
 
-def quantile(value: str, p: float) -> Column:
-    return F.expr(f"percentile_cont({p}) within group (order by {value})")
-
-
 def tag(tags: Column, name: str) -> Column:
     """Tag array with one more entry; a NULL array counts as empty."""
     return F.array_append(tags_or_empty(tags), F.lit(name))

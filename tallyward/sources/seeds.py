@@ -87,26 +87,6 @@ def raci_seed(spark: SparkSession) -> DataFrame:
     return literal_frame(spark, columns, RACI)
 
 
-# --- Fixed values: environments (name, prefix, roles a promotion needs, refreshed, masking, agent mode)
-ENVIRONMENTS = [
-    ("DEV", "DEV_", ["SEMANTIC_DEVELOPER"], False, "FULL", "DISABLED"),
-    ("STAGING", "STG_", ["SEMANTIC_PLATFORM_ADMIN", "DOMAIN_STEWARD"], True, "PARTIAL", "SHADOW"),
-    ("PRODUCTION", "PROD_", ["SEMANTIC_PLATFORM_ADMIN", "DOMAIN_STEWARD", "COMPLIANCE_OFFICER"], False, "NONE", "LIVE"),
-]
-
-
-def environments(spark: SparkSession) -> DataFrame:
-    columns = [
-        ("environment_name", _STR),
-        ("database_prefix", _STR),
-        ("promotion_requires", _LIST),
-        ("auto_refresh_from_prod", _BOOL),
-        ("data_masking_level", _STR),
-        ("agent_mode", _STR),
-    ]
-    return literal_frame(spark, columns, ENVIRONMENTS)
-
-
 # --- Fixed values: promotion gates (from, to, name, type, what it demands, on failure, asset types)
 PROMOTION_GATES = [
     ("DEV", "STAGING", "Schema Validation", "automated", "YAML parses correctly and references valid base tables", "BLOCK", ["semantic_view", "agent"]),

@@ -237,6 +237,8 @@ def certification_events(spark: SparkSession, folder: str) -> DataFrame:
         "semantic_view",
         "CASE status WHEN 'deprecated' THEN 'deprecated' ELSE 'reviewed' END AS action",
         "concat('reviewer_', length(domain)) AS performed_by",
+        # Reviews of drafts were noted with their own time, the others get the time of recording.
+        "CASE WHEN status = 'draft' THEN TIMESTAMP_NTZ'2001-01-01 00:00:00' END AS action_date",
         "concat('status is ', status) AS reason",
     )
 

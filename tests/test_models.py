@@ -14,11 +14,14 @@ DAY = t.FINANCE_DAY
 
 @pytest.fixture(scope="module")
 def star(spark, sf):
-    return {
+    frames = {
         "fct_revenue": t.fct_revenue(spark, sf).cache(),
         "dim_customer": t.dim_customer(spark, sf).cache(),
         "dim_product": t.dim_product(spark, sf).cache(),
     }
+    yield frames
+    for frame in frames.values():
+        frame.unpersist()  # plans of later tests must show their own scans
 
 
 def _year():
