@@ -12,6 +12,8 @@ from ..context import Principal, cut_lineage
 # --- Fixed values: messages of the metric interface, around the metric's name
 NOT_FOUND = ("Metric ", " is not available. Only certified metrics can be queried via API.")
 DENIED = "Your plan does not include access to metric: "
+NOTE = "Production implementation returns actual metric data from semantic view."
+UPGRADE_URL = "https://yourcompany.com/pricing"
 
 
 def audit_access(tel: DataFrame, principal: Principal) -> DataFrame:
@@ -151,6 +153,8 @@ def query_metric_batch(requests: DataFrame, catalog: DataFrame, tenants: DataFra
         F.when(ok, F.col("_rpm")).alias("rate_limit_rpm"),
         F.when(ok, "CERTIFIED").alias("certification"),
         F.when(ok, "live").alias("freshness"),
+        F.when(ok, NOTE).alias("note"),
+        F.when(F.col("status") == 403, UPGRADE_URL).alias("upgrade_url"),
     )
 
 

@@ -40,6 +40,18 @@ SELF_APPROVED = "Segregation of duties violation: approver cannot be the same as
 SELF_APPROVED_ADVICE = "Ask your domain steward to approve."
 BLOCKED = "Validation gates failed. Fix issues before promoting."
 
+# --- Fixed values: what follows an accepted request
+AFTER_ONBOARDING = (
+    "Define 3-5 initial metrics using governance.operating_model.register_metric()",
+    "Create semantic view YAML in DEV environment",
+    "Run CALL governance.devops.promote_asset() to move through pipeline",
+)
+AFTER_REGISTRATION = (
+    "Add metric to semantic view YAML",
+    "Write 3 test cases (resolution, disambiguation, boundary)",
+    "Run CALL governance.operating_model.certify_metric() when ready",
+)
+
 # --- Fixed values: gates (name, detail when passed, detail when failed)
 NAMING_GATE = ("Naming Convention", "Naming convention validated", "Asset name does not match pattern for ")
 OWNERSHIP_GATE = (
@@ -112,6 +124,7 @@ def onboard_domains(requests: DataFrame, dom: DataFrame, as_of: datetime) -> Out
         "error",
         F.when(ok, role).alias("steward_role"),
         F.when(ok, F.col("steward_user")).alias("steward_user"),
+        F.when(ok, F.array(*map(F.lit, AFTER_ONBOARDING))).alias("next_steps"),
     )
     accepted = decided.filter(ok)
     added = accepted.select(
@@ -171,6 +184,7 @@ def register_metrics(requests: DataFrame, dom: DataFrame, cat: DataFrame, as_of:
         "error",
         F.when(ok, fqn).alias("metric_fqn"),
         F.when(ok, "DRAFT").alias("certification_status"),
+        F.when(ok, F.array(*map(F.lit, AFTER_REGISTRATION))).alias("next_steps"),
     )
     added = decided.filter(ok).select(
         fqn.alias("metric_fqn"),
@@ -229,6 +243,7 @@ def certify_metrics(
         F.when(ok, "SUCCESS").otherwise("FAILED").alias("status"),
         "error",
         "recommendation",
+        F.when(ok, "CERTIFIED").alias("certification_status"),
         F.when(ok, due).alias("recertification_due"),
         F.when(ok, score).alias("data_quality_score"),
     )

@@ -41,20 +41,20 @@ def changed(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def _windows(texts: DataFrame, names: DataFrame) -> DataFrame:
-    """Pairs (text, name) where the name occurs anywhere inside the text.
+    """Pairs (text, name) of one kind (``whole``) where the name occurs anywhere inside the text.
 
     A substring test has no join key, and pairing every text with every name would be a cross
     join. Every name is as long as one of the distinct name lengths, so each text lists its
     substrings of just those lengths and an equality join finds the names among them.
     """
-    lengths = names.agg(F.collect_set(F.length("name"))).scalar()
+    lengths = names.agg(F.collect_set(F.struct("whole", F.length("name").alias("size")))).scalar()
     return (
-        texts.withColumn("_size", F.explode(lengths))
-        .filter(F.col("_size") <= F.length("text"))
-        .select("text", "_size", F.explode(F.sequence(F.lit(1), F.length("text") - F.col("_size") + 1)).alias("_at"))
-        .select("text", F.substring("text", F.col("_at"), F.col("_size")).alias("name"))
-        .join(names, "name")
-        .select("text", "name")
+        texts.select("text", F.col("whole").alias("_whole"), F.inline(lengths))
+        .filter((F.col("_whole") == F.col("whole")) & (F.col("size") <= F.length("text")))
+        .select("text", "whole", "size", F.explode(F.sequence(F.lit(1), F.length("text") - F.col("size") + 1)).alias("_at"))
+        .select("text", "whole", F.substring("text", F.col("_at"), F.col("size")).alias("name"))
+        .join(names, ["name", "whole"])
+        .select("text", "whole", "name")
         .distinct()
     )
 
@@ -64,25 +64,30 @@ def view_usage(views: DataFrame, history: DataFrame, as_of: datetime, days: int
 
     A query uses a view if its text contains the view's name, also inside a longer word. A name
     without blanks lies within one word of the text, so the few distinct words are matched, not the
-    texts; the rare name with blanks is matched against the whole text.
+    texts; the rare name with blanks is matched against the whole text, which takes part only where
+    there is such a name. Which of them there are is a subquery: building the query runs no job.
     """
     recent = history.filter(
         (F.col("start_time") >= D.lit_ts(D.shift_days(as_of, -days))) & (F.col("execution_status") == "SUCCESS")
-    ).select("query_id", "user_name", "start_time", F.lower("query_text").alias("whole"))
+    ).select("query_id", "user_name", "start_time", F.lower("query_text").alias("_query"))
     names = views.select(F.lower("semantic_view_fqn").alias("name")).filter(F.length("name") > 0).distinct()
-    blank = F.col("name").rlike("\\s")
+    names = names.withColumn("whole", F.col("name").rlike("\\s"))
+    kinds = names.agg(
+        F.struct(
+            F.min(F.when(~F.col("whole"), F.length("name"))).alias("shortest"),
+            F.coalesce(F.bool_or("whole"), F.lit(False)).alias("blanks"),
+        )
+    ).scalar()
 
     # Words shorter than every name cannot contain one: keywords, which every query repeats, never
     # reach a shuffle.
-    shortest = names.agg(F.min(F.length("name"))).scalar()
-    candidates = F.filter(F.array_distinct(F.split("whole", "\\s+")), lambda w: F.length(w) >= F.col("_shortest"))
-    words = recent.withColumn("_shortest", shortest).select(
-        "query_id", "user_name", "start_time", F.explode(candidates).alias("text")
+    words = F.filter(F.array_distinct(F.split("_query", "\\s+")), lambda w: F.length(w) >= F.col("_kinds.shortest"))
+    pieces = F.concat(
+        F.transform(words, lambda w: F.struct(w.alias("text"), F.lit(False).alias("whole"))),
+        F.filter(F.array(F.struct(F.col("_query").alias("text"), F.lit(True).alias("whole"))), lambda _: F.col("_kinds.blanks")),
     )
-    hits = words.join(_windows(words.select("text").distinct(), names.filter(~blank)), "text")
-    if not names.filter(blank).isEmpty():
-        texts = recent.withColumnRenamed("whole", "text")
-        hits = hits.unionByName(texts.join(_windows(texts.select("text").distinct(), names.filter(blank)), "text"))
+    texts = recent.withColumn("_kinds", kinds).select("query_id", "user_name", "start_time", F.inline(pieces))
+    hits = texts.join(_windows(texts.select("text", "whole").distinct(), names), ["text", "whole"])
     return hits.groupBy("name").agg(
         F.count_distinct("query_id").alias("query_count"),
         F.count_distinct("user_name").alias("consumer_count"),

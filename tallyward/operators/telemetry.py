@@ -177,7 +177,8 @@ def confidence_drift(tel: DataFrame, as_of: datetime, days: int = 30, minimum_da
 
 
 def answer_inconsistencies(log: DataFrame, as_of: datetime, days: int = 30, k: int = 20) -> DataFrame:
-    """Questions with more than one answer, worst first. The lists are built for the top k only."""
+    """Questions with more than one answer, worst first. The lists are built for the top k only, but hold all distinct answers
+    of a question: one value of a row, so 2 GB at most. ``answer_variants`` has them as rows, without that limit."""
     worst = (
         _answers(log, as_of, days)
         .groupBy("normalized_question")
@@ -204,8 +205,38 @@ def answer_inconsistencies(log: DataFrame, as_of: datetime, days: int = 30, k: i
     return worst.join(variants, "normalized_question").orderBy(F.desc("distinct_answers"), "normalized_question")
 
 
+def answer_variants(log: DataFrame, as_of: datetime, days: int = 30) -> DataFrame:
+    """One row per answer and set of metrics that an inconsistent question got: the form to store.
+
+    All inconsistent questions are covered and nothing is collected into lists. A question is inconsistent if its smallest
+    answer differs from its largest, which combines on the map side however often it was asked.
+    """
+    asked = _since(log, "created_at", as_of, days).filter(F.col("normalized_question").isNotNull())
+    variants = asked.groupBy("normalized_question", "answer_summary", "metrics_used").agg(
+        _rows().alias("times_given"), F.min("created_at").alias("first_given"), F.max("created_at").alias("last_given")
+    )
+    several = (
+        variants.groupBy("normalized_question")
+        .agg(F.min("answer_summary").alias("least"), F.max("answer_summary").alias("most"))
+        .filter(F.col("least") < F.col("most"))
+    )
+    return variants.join(several.select("normalized_question"), "normalized_question", "left_semi")
+
+
+def escalation_questions(
+    escalations: DataFrame, as_of: datetime, days: int = 30, keys: tuple[str, ...] = ("agent_name", "escalation_reason")
+) -> DataFrame:
+    """One row per escalated question of each group, with how often it was asked: the form to store. Whole texts, all groups."""
+    return (
+        _since(escalations, "created_at", as_of, days)
+        .groupBy(*keys, "user_question")
+        .agg(_rows().alias("times_asked"), F.max("created_at").alias("last_asked"))
+    )
+
+
 def _samples(df: DataFrame, keys: list[str], text: Column) -> DataFrame:
-    """Distinct sample texts of each group, sorted and joined with bars."""
+    """Distinct sample texts of each group, sorted and joined with bars: one value of a row, so 2 GB at most.
+    ``escalation_questions`` has the questions as rows, without that limit."""
     return (
         df.select(*keys, text.alias("sample"))
         .distinct()

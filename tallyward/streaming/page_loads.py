@@ -146,9 +146,10 @@ def freshness_distribution(aged: DataFrame) -> DataFrame:
 
 
 def freshness_sla(aged: DataFrame, tiers: DataFrame) -> DataFrame:
-    """Data age against the latency its freshness tier promises; rows carry their ``tier_name``."""
+    """Data age against the latency its freshness tier promises; rows carry their ``tier_name``. A row of a tier that nobody
+    declared stays, with neither a promise nor an answer."""
     allowed = tiers.select("tier_name", "max_latency_seconds", "cost_multiplier")
-    return aged.join(allowed, "tier_name").withColumn(
+    return aged.join(allowed, "tier_name", "left").withColumn(
         "within_sla", F.col("data_age_seconds") <= F.col("max_latency_seconds")
     )
 

@@ -17,7 +17,7 @@ def refresh_revenue_cells(
     """Rebuilds month partitions of the cells under ``out``; other months are not touched.
 
     Without ``recent_months`` all months of the window are built. With it only those newest months
-    are, plus the oldest one, which the moving window cuts mid-month. The month filter reaches the
+    are, with what is dated after ``as_of``, plus the oldest one, which the moving window cuts mid-month. The month filter reaches the
     scan, so a refresh reads little more than it rewrites.
     """
     start = D.shift_months(as_of, -months)

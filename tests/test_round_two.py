@@ -5,10 +5,11 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tallyward.operators import access, binding, certification, federation, lifecycle
+from tallyward.operators import access, binding, certification, federation, lifecycle, telemetry
 from tallyward.plans.models import MODELS
 from tallyward.sources import seeds
 from tallyward.sources import testdata as t
+from tallyward.streaming import page_loads
 
 NOW = datetime(2001, 7, 15)
 
@@ -68,3 +69,49 @@ def test_inherited_roles_with_cycles(spark):
     grants = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c"), ("c", "a"), ("d", "a"), ("d", "d")], "role string, granted_role string")
     got = {(r.role, r.granted_role): r.distance for r in access.effective_roles(grants).collect()}
     assert got == {("a", "b"): 1, ("b", "c"): 1, ("a", "c"): 1, ("c", "a"): 1, ("d", "a"): 1, ("b", "a"): 2, ("c", "b"): 2, ("d", "b"): 2, ("d", "c"): 2}
+
+
+def test_answers_of_inconsistent_questions_as_rows(spark):
+    kind = "normalized_question string, answer_summary string, metrics_used array<string>, created_at timestamp_ntz"
+    rows = [("q", "a", ["m"], NOW), ("q", "a", ["m"], NOW), ("q", "b", None, NOW), ("q", None, [], NOW), ("same", "a", ["m"], NOW), ("same", "a", ["n"], NOW), ("same", None, [], NOW), (None, "x", [], NOW), (None, "y", [], NOW)]
+    log = spark.createDataFrame([*rows, ("old", "a", [], datetime(2001, 1, 1)), ("old", "b", [], datetime(2001, 1, 1))], kind)
+    got = {(r.normalized_question, r.answer_summary): r.times_given for r in telemetry.answer_variants(log, NOW).collect()}
+    assert got == {("q", "a"): 2, ("q", "b"): 1, ("q", None): 1}
+    assert telemetry.answer_variants(log.limit(0), NOW).isEmpty()
+
+
+def test_escalated_questions_as_rows(spark):
+    rows = [("a", "r", "why?", NOW), ("a", "r", "why?", NOW), ("a", "r", "x" * 200, NOW), ("b", "r", None, NOW)]
+    asked = spark.createDataFrame(rows, "agent_name string, escalation_reason string, user_question string, created_at timestamp_ntz")
+    got = {(r.agent_name, r.user_question): r.times_asked for r in telemetry.escalation_questions(asked, NOW).collect()}
+    assert got == {("a", "why?"): 2, ("a", "x" * 200): 1, ("b", None): 1}
+
+
+def test_names_with_and_without_blanks_are_found(spark):
+    texts = ["SELECT * FROM DB.Sales_View", "select 1 from odd  view", "pre_db.sales_view_post x", "odd view", None, ""]
+    history = spark.createDataFrame([(i, f"u{i % 2}", q, NOW, "SUCCESS") for i, q in enumerate(texts)], "query_id long, user_name string, query_text string, start_time timestamp_ntz, execution_status string")
+
+    def found(*names):
+        views = spark.createDataFrame([(n,) for n in names], "semantic_view_fqn string")
+        return {r.name: r.query_count for r in lifecycle.view_usage(views, history, NOW).collect()}
+
+    assert found("db.sales_view", "Odd  View", None, "", "unused") == {"db.sales_view": 2, "odd  view": 1}
+    assert found("db.sales_view") == {"db.sales_view": 2} and found("odd view") == {"odd view": 1} and found() == {}
+
+
+def test_building_the_usage_query_runs_no_job(spark, sf):
+    tracker, group = spark.sparkContext.statusTracker(), "usage-build"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        lifecycle.refresh_usage_stats(t.metric_catalog(spark, sf), t.query_history(spark, sf), NOW)
+        started = len(tracker.getJobIdsForGroup(group))
+        t.metric_catalog(spark, sf), t.query_history(spark, sf)  # reading the files' schemas alone
+        assert len(tracker.getJobIdsForGroup(group)) - started == started
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_rows_of_an_undeclared_tier_stay(spark):
+    aged = spark.createDataFrame([("batch", 5), ("nobody's", 5)], "tier_name string, data_age_seconds long")
+    got = {r.tier_name: r.within_sla for r in page_loads.freshness_sla(aged, seeds.freshness_tiers(spark)).collect()}
+    assert got == {"batch": True, "nobody's": None}

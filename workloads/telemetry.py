@@ -21,6 +21,11 @@ QUERIES = {
     "confidence_by_agent": query(lambda s, d: telemetry.confidence_by_agent(t.governance_log(s, d), NOW)),
     "confidence_drift": query(lambda s, d: telemetry.confidence_drift(t.answer_log(s, d), NOW)),
     "answer_inconsistencies": query(lambda s, d: telemetry.answer_inconsistencies(t.governance_log(s, d), NOW)),
+    "answer_variants": query(lambda s, d: telemetry.answer_variants(t.governance_log(s, d), NOW)),
+    "escalation_questions": query(lambda s, d: telemetry.escalation_questions(t.escalations(s, d), NOW)),
+    "signal_questions": query(
+        lambda s, d: telemetry.escalation_questions(t.escalations(s, d), NOW, days=7, keys=("escalation_reason",))
+    ),
     "weekly_signals": query(lambda s, d: telemetry.weekly_signals(t.governance_log(s, d), t.escalations(s, d), NOW)),
     "escalation_improvements": query(lambda s, d: telemetry.escalation_improvements(t.escalations(s, d), NOW)),
     "security_compliance": query(lambda s, d: telemetry.security_compliance(t.governance_log(s, d), NOW)),
@@ -111,6 +116,19 @@ SELECT normalized_question, min(created_at) AS first_asked, max(created_at) AS l
        array_to_string(list_sort(list(DISTINCT array_to_string(metrics_used, ','))), '|') AS metrics_used_variations
 FROM governance_log WHERE created_at >= {_MONTH} AND normalized_question IS NOT NULL
 GROUP BY 1 HAVING count(DISTINCT answer_summary) > 1 ORDER BY distinct_answers DESC, normalized_question LIMIT 20""",
+    "answer_variants": f"""
+SELECT normalized_question, answer_summary, array_to_string(metrics_used, '|') AS metrics_used, count(*) AS times_given,
+       min(created_at) AS first_given, max(created_at) AS last_given
+FROM governance_log g WHERE created_at >= {_MONTH}
+  AND normalized_question IN (SELECT normalized_question FROM governance_log WHERE created_at >= {_MONTH}
+                              GROUP BY 1 HAVING count(DISTINCT answer_summary) > 1)
+GROUP BY normalized_question, answer_summary, g.metrics_used""",
+    "escalation_questions": f"""
+SELECT agent_name, escalation_reason, user_question, count(*) AS times_asked, max(created_at) AS last_asked
+FROM escalations WHERE created_at >= {_MONTH} GROUP BY 1, 2, 3""",
+    "signal_questions": f"""
+SELECT escalation_reason, user_question, count(*) AS times_asked, max(created_at) AS last_asked
+FROM escalations WHERE created_at >= {_WEEK} GROUP BY 1, 2""",
     "weekly_signals": f"""
 WITH u AS (SELECT 'Low Confidence Questions' AS improvement_type, original_question AS topic, original_question AS detail,
                   count(*) AS frequency,
