@@ -36,8 +36,8 @@ def sampled(key: Column, rate: float) -> Column:
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The rows with a number of their own, and its column, a name that no other has. Rows read from files get the same
-    numbers each time they are read; repeated rows and repeated ids stay apart by it."""
+    """The rows with a number of their own, and its column, a name that no other has; repeated rows and repeated ids
+    stay apart by it. Each evaluation numbers anew, and otherwise where the scan is cut otherwise: store the rows before a second use."""
     name = "row"
     while name.lower() in {c.lower() for c in docs.columns}:
         name = f"_{name}"
