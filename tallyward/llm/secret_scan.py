@@ -2,7 +2,8 @@
 
 A worklist starts with the text and scans every layer for the three kinds. From each layer it
 unwraps: percent escapes, Unicode and character escapes (each gives the whole layer with the
-escapes replaced), runs of base64 (each a layer of its own) and compressed bytes found in them
+escapes replaced), runs of base64 (each a layer of its own; where bytes of it are not readable, and at the
+three other alignments, each readable stretch) and compressed bytes found in them
 (gzip, zlib, bzip2, xz). It goes on until no layer brings a new one; a layer whose content was seen
 at the same place is not entered again, so cycles end. Every character of a layer knows the span of
 the original text that it comes from; what is found in a layer is reported at that span.
@@ -16,7 +17,6 @@ per input row. Other columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -40,9 +40,16 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\U([0-9A-Fa-f]{8})|((?:\\u[0-9A-Fa-f]{4})+)|\\x([0-9A-Fa-f]{2})|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _B64 = "[A-Za-z0-9+/_-]"
-BASE64 = re.compile(rf"(?<!{_B64}){_B64}{{14,}}(?:\r?\n{_B64}{{14,}})*={{0,2}}")
+#: A run over any number of lines, and a shorter last line, which may as well be a word of the text.
+BASE64 = re.compile(rf"(?<!{_B64})({_B64}{{14,}}(?:\r?\n{_B64}{{14,}})*={{0,2}})((?<!=)\r?\n{_B64}{{1,13}}(?!{_B64})={{0,2}})?")
+#: UTF-8 without control characters, as long as the shortest secret.
+READABLE = re.compile(
+    rb"(?:[\x09-\x0d\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]"
+    rb"|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}"
+)
 #: The first bytes of compressed data, and what reads it.
 MAGIC = ((b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"BZh", bz2.BZ2Decompressor), (b"\xfd7zXZ\x00", lzma.LZMADecompressor), (b"x\x01", zlib.decompressobj), (b"x\x5e", zlib.decompressobj), (b"x\x9c", zlib.decompressobj), (b"x\xda", zlib.decompressobj))
+MAGICS = re.compile(b"|".join(re.escape(m) for m, _ in MAGIC))
 _CONTROL = re.compile("[\x00-\x08\x0e-\x1f\x7f]")
 
 
@@ -160,30 +167,43 @@ def escape_layers(layer: Layer) -> Iterator[Layer]:
 
 def base64_layers(layer: Layer) -> Iterator[Layer]:
     for run in BASE64.finditer(layer.text):
-        whole = run[0]
+        whole = run[1]
         tries = [(run.start(), whole)]
+        if run[2]:
+            tries.append((run.start(), run[0]))
         if "\n" in whole:
             tries += [(run.start() + m.start(), m[0]) for m in re.finditer(rf"{_B64}+={{0,2}}", whole)]
         for start, coded in tries:
             chars = [i for i, c in enumerate(coded) if c not in "\r\n="] if "\n" in coded else None
-            body = re.sub("[\r\n=]", "", coded)
-            if len(body) % 4 == 1:
-                body = body[:-1]
-            try:
-                data = base64.b64decode(body.translate({45: 43, 95: 47}) + "=" * (-len(body) % 4))
-            except (binascii.Error, ValueError):
-                continue
-            if text := inflated(data):
-                yield Layer(text, layer.span(start, start + len(coded)))
-            elif (text := _utf8(data)) and text.strip():
+            body = re.sub("[\r\n=]", "", coded).translate({45: 43, 95: 47})
+
+            def part(text: str, shift: int, first: int) -> Layer:
                 # Three bytes come from four characters.
-                stops = np.cumsum(_widths(text))
-                a, b = 4 * ((stops - _widths(text)) // 3), np.minimum(4 * ((stops - 1) // 3) + 4, len(body)) - 1
+                widths = np.array(_widths(text))
+                stops = first + np.cumsum(widths)
+                a, b = shift + 4 * ((stops - widths) // 3), np.minimum(shift + 4 * ((stops - 1) // 3) + 4, len(body)) - 1
                 if chars:
                     index = np.array(chars)
                     a, b = index[a], index[b]
                 spans = [layer.span(start + int(x), start + int(y) + 1) for x, y in zip(a, b)]
-                yield Layer(text, (np.array([s[0] for s in spans]), np.array([s[1] for s in spans])))
+                return Layer(text, (np.array([s[0] for s in spans]), np.array([s[1] for s in spans])))
+
+            # The run may begin before its payload, with any of its characters: one of four alignments is the payload's.
+            for shift in range(4):
+                left = body[shift:]
+                if len(left) % 4 == 1:
+                    left = left[:-1]
+                data = base64.b64decode(left + "=" * (-len(left) % 4))
+                if not shift and (text := _utf8(data)):
+                    if text.strip():
+                        yield part(text, 0, 0)
+                else:
+                    for m in READABLE.finditer(data):
+                        yield part(m[0].decode("utf-8"), shift, m.start())
+                for m in MAGICS.finditer(data):
+                    if text := inflated(data[m.start() :]):
+                        at = shift + 4 * (m.start() // 3)
+                        yield Layer(text, layer.span(start + (chars[at] if chars else at), start + len(coded)))
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
