@@ -8,7 +8,7 @@ three other alignments, each readable stretch) and compressed bytes found in the
 at the same place is not entered again, so cycles end. Every character of a layer knows the span of
 the original text that it comes from; what is found in a layer is reported at that span.
 
-A compressed layer is read up to ``MAX_LAYER`` characters, as a guard against decompression bombs.
+The members of a compressed layer are read as one text, up to ``MAX_LAYER`` bytes, as a guard against decompression bombs.
 
 Edge cases: null and empty texts have no spans; ids, repeated rows and ties pass through, one row
 per input row. Other columns are ignored; an empty table gives an empty result.
@@ -105,15 +105,18 @@ class Layer:
         return Layer("".join(texts), self.at if flat else (np.concatenate(starts), np.concatenate(ends)))
 
 
-def inflated(data: bytes) -> str | None:
-    """The text that the bytes hold compressed."""
-    for magic, reader in MAGIC:
-        if data.startswith(magic):
-            try:
-                return reader().decompress(data, MAX_LAYER).decode("utf-8", "replace") or None
-            except (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError):
-                return None
-    return None
+def inflated(data: bytes) -> tuple[str, int]:
+    """The text that the bytes hold compressed, of all members one after another, and the bytes that it took; empty if none."""
+    parts, rest, room = [], data, MAX_LAYER
+    while room > 0 and (reader := next((r for m, r in MAGIC if rest.startswith(m)), None)):
+        try:
+            member = reader()
+            parts.append(member.decompress(rest, room))
+        except (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError):
+            break
+        room -= len(parts[-1])
+        rest = member.unused_data if member.eof else b""
+    return b"".join(parts).decode("utf-8", "replace"), len(data) - len(rest)
 
 
 def _utf8(data: bytes) -> str | None:
@@ -139,7 +142,7 @@ def percent_layers(layer: Layer) -> Iterator[Layer]:
             for w in _widths(text):
                 froms.append((at, at := at + 3 * w))
             parts.append((m.start(), m.end(), text, froms))
-        elif text := inflated(data):
+        elif text := inflated(data)[0]:
             yield Layer(text, layer.span(*m.span()))
     if parts:
         yield layer.replaced(parts)
@@ -200,8 +203,13 @@ def base64_layers(layer: Layer) -> Iterator[Layer]:
                 else:
                     for m in READABLE.finditer(data):
                         yield part(m[0].decode("utf-8"), shift, m.start())
+                end = 0
                 for m in MAGICS.finditer(data):
-                    if text := inflated(data[m.start() :]):
+                    if m.start() < end:
+                        continue
+                    text, taken = inflated(data[m.start() :])
+                    if text:
+                        end = m.start() + taken
                         at = shift + 4 * (m.start() // 3)
                         yield Layer(text, layer.span(start + (chars[at] if chars else at), start + len(coded)))
 

@@ -5,6 +5,7 @@ import bz2
 import collections
 import gzip
 import hashlib
+import lzma
 import re
 import urllib.parse
 import zlib
@@ -379,6 +380,13 @@ def test_last_lines_of_wrapped_text_are_read(size):
         assert [kind for _, kind, _ in secret_scan.scan(text)[1]] == [1]
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zlib.compress])
+@pytest.mark.parametrize("code", [lambda data: base64.b64encode(data).decode(), lambda data: "".join(f"%{b:02x}" for b in data)])
+def test_all_members_of_a_compressed_layer_are_read(pack, code):
+    halves = [f"first of two, {SECRET[:14]}".encode(), SECRET[14:].encode()]
+    assert [kind for _, kind, _ in secret_scan.scan(f"see {code(b''.join(map(pack, halves)))} now")[1]] == [0]
+
+
 def test_cycles_and_broken_layers_end():
     for text in ("%25" * 200 + "41", "%zz%4", "\\u12 \\ud800 &#x110000; &#55296;", base64.b64encode(b"\x1f\x8b broken").decode(), "QUFB" * 3000, "%1F%8B%00"):
         secret_scan.scan(text)
