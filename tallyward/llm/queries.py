@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyward.context import scratch_path
 
-from . import chat, decontaminate, exact_dedup, html_text, language_id, packing, quality, secret_scan, simhash, warc
+from . import chat, decontaminate, exact_dedup, fill_middle, hard_negatives, html_text, language_id, line_dedup, packing, quality, secret_scan, simhash, warc
 from .common import table
 
 Q, SQL = {}, {}
@@ -141,8 +141,63 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(docs, language_id.fit(docs))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+SQL["op11_hard_negatives"] = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM e AS a JOIN e AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE alike
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(table(spark, folder, "documents")).drop("kept_text")
+
+
+SQL["op12_line_dedup"] = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+k AS (SELECT *, translate(regexp_replace(line, '^[ 	-]+|[ 	-]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM l),
+r AS (SELECT body, max(doc_id) AS stays FROM k WHERE length(body) >= 20 GROUP BY body HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.*, stays IS NOT NULL AND doc_id <> stays AS gone FROM k LEFT JOIN r USING (body))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
+def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.fill_in_middle(table(spark, folder, "documents"))
+
+
+SQL["op13_fill_middle"] = """
+WITH h AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS h FROM documents),
+x AS (SELECT *, CAST('0x' || h[1:8] AS UBIGINT) % (n + 1) AS c1, CAST('0x' || h[9:16] AS UBIGINT) % (n + 1) AS c2,
+             CAST('0x' || h[17:24] AS UBIGINT) % 100 AS h3, CAST('0x' || h[25:32] AS UBIGINT) % 100 AS h4 FROM h),
+f AS (SELECT *, CAST(least(c1, c2) AS BIGINT) AS a, CAST(greatest(c1, c2) AS BIGINT) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain' WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM x)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+                        WHEN 'psm' THEN '<P>' || substr(t, 1, a) || '<S>' || substr(t, b + 1) || '<M>' || substr(t, a + 1, b - a)
+                        ELSE '<S>' || substr(t, b + 1) || '<P>' || substr(t, 1, a) || '<M>' || substr(t, a + 1, b - a) END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM f
+"""
+
+
 _REGISTERED = (
     op1_html_text, op2_quality, op3_decontaminate, op4_exact_dedup, op5_pack, op6_simhash, op7_warc, op8_secret_scan, op9_chat_format, op10_language_id,
+    op11_hard_negatives, op12_line_dedup, op13_fill_middle,
 )
 Q.update({f.__name__: f for f in _REGISTERED})
 
