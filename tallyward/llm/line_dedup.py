@@ -202,11 +202,9 @@ def repeated_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docume
         docs.select("text", "doc_id", F.xxhash64("text").alias("print")).mapInArrow(_suspects(shared, bits, least_chars), f"doc_id {id_type}, print long, sha binary, lines array<int>")
     )
     # Two steps, each combined before its shuffle: a line of all documents is spread by their ids, then a row per task.
-    confirmed = (
-        found.select("sha", "doc_id").distinct()
-        .groupBy("sha").agg(F.count(F.lit(1)).alias("documents"), F.max("doc_id").alias("stays"))
-        .filter(F.col("documents") >= least_documents).select("sha", "stays")
-    )
+    counted = found.select("sha", "doc_id").distinct().groupBy("sha").agg(F.count(F.lit(1)).alias("documents"), F.max("doc_id").alias("stays"))
+    # A table of its own, so that Spark can split the rows of a frequent line in the join.
+    confirmed = cut_lineage(counted.filter(F.col("documents") >= least_documents).select("sha", "stays"))
     lost = found.join(confirmed, "sha").filter(~F.col("doc_id").eqNullSafe(F.col("stays")))
     # Repeated rows give the same lines again: the set holds them once.
     return lost.groupBy("doc_id", "print").agg(F.collect_set("lines").alias("lines"))
