@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.context import cut_lineage, scratch_path
-from tallyward.llm import decontaminate, exact_dedup, language_id, near_copies, packing
+from tallyward.llm import decontaminate, exact_dedup, language_id, packing, simhash
 from tallyward.llm.common import numbered, table
 
 
@@ -29,8 +29,9 @@ def _numbered(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str]:
     return spark.read.parquet(path), row
 
 
-def _only(rows: DataFrame, keep: DataFrame, row: str) -> DataFrame:
-    return rows.join(cut_lineage(keep.select(row)), row, "left_semi").drop(row)
+def _without(rows: DataFrame, drop: DataFrame, row: str) -> DataFrame:
+    """The rows without the numbers to drop, which are few."""
+    return rows.join(cut_lineage(drop.select(row)), row, "left_anti").drop(row)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,22 +42,23 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     rows, row = _numbered(spark, docs)
-    return _only(rows, exact_dedup.exact_duplicates(rows, row=row).filter("kept"), row)
+    return _without(rows, exact_dedup.exact_duplicates(rows, row=row).filter(~F.col("kept")), row)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of near copies: five-word shingles, similarity of at least 0.8."""
+    """The document with the smallest id of each component of near duplicates."""
     rows, row = _numbered(spark, docs)
-    found = cut_lineage(near_copies.near_copies(rows.select("doc_id", "text", row), row).withColumnRenamed("row", "number"))
-    ids = rows.select("doc_id", F.col(row).alias("number"))
-    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("number")))["number"]
-    return _only(rows, found.join(ids, "number").groupBy("component").agg(first.alias(row)), row)
+    found = cut_lineage(simhash.near_duplicates(rows, row=row))
+    # A component whose ids are all null is known by its fingerprints; each of them keeps one document then.
+    group = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fingerprint"))]
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(row)))[row]
+    return _without(rows, found.join(found.groupBy(*group).agg(first.alias(row)), row, "left_anti"), row)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window of words with the benchmark."""
     rows, row = _numbered(spark, docs)
-    return _only(rows, decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), row=row).filter(~F.col("contaminated")), row)
+    return _without(rows, decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), row=row).filter("contaminated"), row)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
