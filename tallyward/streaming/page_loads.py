@@ -28,6 +28,11 @@ def page_load_metrics(events: DataFrame, as_of: datetime, hours: int = 24, slow_
     counted = recent.groupBy(
         D.trunc_minute(F.col("event_timestamp")).alias("metric_minute"), "tenant_id", "page_name", "load_time_ms"
     ).agg(F.count(F.lit(1)).alias("n"))
+    return metrics_of_counts(counted, slow_ms)
+
+
+def metrics_of_counts(counted: DataFrame, slow_ms: int = 3000) -> DataFrame:
+    """The metrics from load times and how often each was seen (``n``). A load time may come in several rows."""
     load, n = F.col("load_time_ms"), F.col("n")
     return counted.groupBy(*KEYS).agg(
         F.sum("n").alias("page_views"),
