@@ -706,3 +706,44 @@ def resolve_requests(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").selectExpr(
         "event_id AS request_id", "concat('metric_', event_id % 2500) AS metric_name"
     )
+
+
+# ---------------------------------------------------------------- what arrives late, twice or broken
+
+
+def revenue_deliveries(spark: SparkSession, folder: str) -> list[tuple[DataFrame, int]]:
+    """The fact lines as they are delivered: a list of batches of signed lines that add up to ``fct_revenue``.
+
+    One-time lines arrive late. Adjusted lines first arrive without their discount and are corrected. Refunded
+    subscriptions arrive twice, and one of the two is withdrawn. Each of these touches every month.
+    """
+    rev = fct_revenue(spark, folder)
+    late, adjusted = F.col("revenue_type") == "one_time", F.col("credit_type") == "adjustment"
+    twice = (F.col("credit_type") == "refund") & (F.col("revenue_type") == "subscription")
+    wrong = rev.filter(adjusted & ~late).withColumn("amount_usd", F.col("amount_usd") + 1)
+
+    def signed(rows: DataFrame, sign: int) -> DataFrame:
+        return rows.withColumn("sign", F.lit(sign))
+
+    right = rev.filter(adjusted & ~late)
+    return [
+        (signed(rev.filter(~late & ~adjusted), 1).unionByName(signed(rev.filter(twice), 1)).unionByName(signed(wrong, 1)), 1),
+        (signed(rev.filter(late & F.col("is_recurring").isNotNull()), 1).unionByName(signed(wrong, -1)).unionByName(signed(right, 1)), 2),
+        (signed(rev.filter(twice), -1), 3),
+    ]
+
+
+def arriving_page_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Page events with the wave they arrive in: errors are reported six days late, signups half a day; a wave takes ten days."""
+    delay = "CASE page_name WHEN '/error' THEN INTERVAL '144' HOUR WHEN '/signup' THEN INTERVAL '12' HOUR ELSE INTERVAL '0' HOUR END"
+    return page_events(spark, folder).selectExpr("*", f"CAST(floor(datediff(CAST(event_timestamp + {delay} AS DATE), DATE'2024-01-01') / 10) AS INT) AS wave")
+
+
+def event_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """Payloads of all events as different senders write them: as a number, as text, nested, without the key, and cut off."""
+    return table(spark, folder, "events").selectExpr(
+        "event_id",
+        "event_type",
+        """CASE event_type WHEN 'view' THEN replace(replace(props, ': ', ': "'), '}', '"}') WHEN 'signup' THEN concat('{"detail": ', props, ', "k": null}')
+             WHEN 'purchase' THEN '{"amount": 1.5, "items": [1, 2]}' WHEN 'error' THEN substr(props, 1, length(props) - 1) ELSE props END AS payload""",
+    )

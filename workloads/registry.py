@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("metrics", "models", "telemetry", "governance", "lifecycle", "tenancy")
+SECTIONS = ("metrics", "models", "telemetry", "governance", "lifecycle", "tenancy", "incremental")
 
 
 def _merged(attribute: str) -> dict:
