@@ -8,7 +8,9 @@ three other alignments, each readable stretch) and compressed bytes found in the
 at the same place is not entered again, so cycles end. Every character of a layer knows the span of
 the original text that it comes from; what is found in a layer is reported at that span.
 
-The members of a compressed layer are read as one text, up to ``MAX_LAYER`` bytes, as a guard against decompression bombs.
+Bytes of a percent run that are not UTF-8 become one replacement character each, so that they hide nothing
+around them. The members of a compressed layer are read as one text, up to ``MAX_LAYER`` bytes, as a guard
+against decompression bombs; a document with a longer layer says so (``partly_scanned``).
 
 Edge cases: null and empty texts have no spans; ids, repeated rows and ties pass through, one row
 per input row. Other columns are ignored; an empty table gives an empty result.
@@ -105,8 +107,9 @@ class Layer:
         return Layer("".join(texts), self.at if flat else (np.concatenate(starts), np.concatenate(ends)))
 
 
-def inflated(data: bytes) -> tuple[str, int]:
-    """The text that the bytes hold compressed, of all members one after another, and the bytes that it took; empty if none."""
+def inflated(data: bytes, cut: list | None = None) -> tuple[str, int]:
+    """The text that the bytes hold compressed, of all members one after another, and the bytes that it took; empty if none.
+    Where there is more than ``MAX_LAYER``, ``cut`` gets an entry."""
     parts, rest, room = [], data, MAX_LAYER
     while room > 0 and (reader := next((r for m, r in MAGIC if rest.startswith(m)), None)):
         try:
@@ -115,6 +118,8 @@ def inflated(data: bytes) -> tuple[str, int]:
         except (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError):
             break
         room -= len(parts[-1])
+        if cut is not None and room <= 0 and (not member.eof or member.unused_data):
+            cut.append(True)
         rest = member.unused_data if member.eof else b""
     return b"".join(parts).decode("utf-8", "replace"), len(data) - len(rest)
 
@@ -131,24 +136,44 @@ def _widths(text: str) -> list[int]:
     return [1 if c < "\x80" else 2 if c < "\u0800" else 3 if c < "\U00010000" else 4 for c in text]
 
 
-def percent_layers(layer: Layer) -> Iterator[Layer]:
+def _replaced_bytes(data: bytes) -> tuple[str, list[int]]:
+    """The bytes as text, and how many bytes each character takes; a byte that belongs to no UTF-8 character is a character of its own."""
+    text, widths, at = [], [], 0
+    while at < len(data):
+        try:
+            part, bad = data[at:].decode("utf-8"), 0
+        except UnicodeDecodeError as error:
+            part, bad = data[at : at + error.start].decode("utf-8"), 1
+        text.append(part + "\ufffd" * bad)
+        widths += [*_widths(part), *[1] * bad]
+        at += len(part.encode()) + bad
+    return "".join(text), widths
+
+
+def percent_layers(layer: Layer, cut: list | None = None) -> Iterator[Layer]:
     if "%" not in layer.text:
         return
     parts = []
     for m in PERCENT.finditer(layer.text):
         data = bytes.fromhex(m[0].replace("%", ""))
-        if (text := _utf8(data)) is not None:
-            froms, at = [], m.start()
-            for w in _widths(text):
-                froms.append((at, at := at + 3 * w))
-            parts.append((m.start(), m.end(), text, froms))
-        elif text := inflated(data)[0]:
-            yield Layer(text, layer.span(*m.span()))
+        text, widths = _replaced_bytes(data)
+        froms, at = [], m.start()
+        for w in widths:
+            froms.append((at, at := at + 3 * w))
+        parts.append((m.start(), m.end(), text, froms))
+        end = 0
+        for magic in MAGICS.finditer(data):
+            if magic.start() < end:
+                continue
+            inner, taken = inflated(data[magic.start() :], cut)
+            if inner:
+                end = magic.start() + taken
+                yield Layer(inner, layer.span(m.start() + 3 * magic.start(), m.start() + 3 * end))
     if parts:
         yield layer.replaced(parts)
 
 
-def escape_layers(layer: Layer) -> Iterator[Layer]:
+def escape_layers(layer: Layer, cut: list | None = None) -> Iterator[Layer]:
     if "\\" not in layer.text and "&#" not in layer.text:
         return
     parts = []
@@ -168,7 +193,7 @@ def escape_layers(layer: Layer) -> Iterator[Layer]:
         yield layer.replaced(parts)
 
 
-def base64_layers(layer: Layer) -> Iterator[Layer]:
+def base64_layers(layer: Layer, cut: list | None = None) -> Iterator[Layer]:
     for run in BASE64.finditer(layer.text):
         whole = run[1]
         tries = [(run.start(), whole)]
@@ -207,16 +232,16 @@ def base64_layers(layer: Layer) -> Iterator[Layer]:
                 for m in MAGICS.finditer(data):
                     if m.start() < end:
                         continue
-                    text, taken = inflated(data[m.start() :])
+                    text, taken = inflated(data[m.start() :], cut)
                     if text:
                         end = m.start() + taken
                         at = shift + 4 * (m.start() // 3)
                         yield Layer(text, layer.span(start + (chars[at] if chars else at), start + len(coded)))
 
 
-def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """Base spans and all spans of a text, as sorted (start, kind, end)."""
-    base, found, seen, work = set(), set(), {(None, text)}, deque([Layer(text)])
+def scanned(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], bool]:
+    """Base spans and all spans of a text, as sorted (start, kind, end), and whether a layer was too long to be read whole."""
+    base, found, seen, work, cut = set(), set(), {(None, text)}, deque([Layer(text)]), []
     while work:
         layer = work.popleft()
         for kind, start, end in matches(layer.text):
@@ -225,12 +250,17 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
             if layer.at is None:
                 base.add((start, KINDS.index(kind), end))
         for unwrap in (percent_layers, escape_layers, base64_layers):
-            for inner in unwrap(layer):
+            for inner in unwrap(layer, cut):
                 key = (inner.place(), inner.text)
                 if inner.text and key not in seen:
                     seen.add(key)
                     work.append(inner)
-    return sorted(base), sorted(found)
+    return sorted(base), sorted(found), bool(cut)
+
+
+def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """Base spans and all spans of a text."""
+    return scanned(text)[:2]
 
 
 def listed(spans: list[tuple[int, int, int]]) -> str:
@@ -238,19 +268,20 @@ def listed(spans: list[tuple[int, int, int]]) -> str:
 
 
 def secrets(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
+    """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, partly_scanned."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: list[list] = [[], [], [], [], []]
+            columns: list[list] = [[], [], [], [], [], []]
             for text in batch.column(1):
-                base, found = scan(text.as_py() or "")
+                base, found, partly = scanned(text.as_py() or "")
                 for i in range(3):
                     columns[i].append(sum(s[1] == i for s in base))
                 columns[3].append(hashlib.sha256(listed(base).encode()).hexdigest())
                 columns[4].append(listed(found))
-            kinds = [pa.int64()] * 3 + [pa.string()] * 2
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns, kinds)], ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
+                columns[5].append(partly)
+            kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.bool_()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns, kinds)], ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "partly_scanned"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, partly_scanned boolean")
