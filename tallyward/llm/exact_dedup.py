@@ -5,8 +5,9 @@ equal texts stand next to each other; Spark compares each with its neighbour in
 the rows of a run. The sort key starts with a short prefix and a 64-bit hash of the text, which
 keeps the sampled splitters small, and ends with a shard of the row's id: the copies of one text
 spread over up to ``shards`` runs, each in its own place of the range, so a text that a third of
-all rows share does not end in one task. The first rows of the runs, one per text and shard, then
-meet by their SHA-256. Texts cross the network once; everything after carries digests.
+all rows share does not end in one task. A row that differs from its neighbour begins a run; a run is
+counted as what it is, and its first row is its best. Only runs meet by length and SHA-256, one for each
+shard of a text. Texts cross the network once; everything after carries digests.
 
 Built from DataFrame functions only.
 
@@ -25,6 +26,8 @@ from tallyward.context import cut_lineage
 from .common import SPACES
 
 PREFIX = 48
+#: What names a run of equal texts: its place in the order, and its number there.
+RUN = ["prefix", "hash", "shard", "run"]
 
 
 def exact_duplicates(docs: DataFrame, shards: int = 32, row: str | None = None) -> DataFrame:
@@ -42,23 +45,23 @@ def exact_duplicates(docs: DataFrame, shards: int = 32, row: str | None = None)
         .withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
     )
     # The range partitioning on (prefix, hash, shard) already holds each window's rows together: no second shuffle.
-    run = Window.partitionBy("prefix", "hash", "shard", "body").orderBy(F.desc("n"), F.asc_nulls_last("doc_id"))
+    place = Window.partitionBy("prefix", "hash", "shard").orderBy("body", F.desc("n"), F.asc_nulls_last("doc_id"))
+    before = F.lag("body").over(place)
+    sorted_ = rows.repartitionByRange("prefix", "hash", "shard").withColumn("leads", before.isNull() | (before != F.col("body")))
     thin = cut_lineage(
-        rows.repartitionByRange("prefix", "hash", "shard")
-        .withColumn("place", F.row_number().over(run))
-        .select("doc_id", "number", "n", "shard", F.unhex(F.sha2("body", 256)).alias("sha"), (F.col("place") == 1).alias("leads"))
+        sorted_.withColumn("run", F.sum(F.col("leads").cast("int")).over(place.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int"))
+        .select("doc_id", "number", "n", *RUN, "leads", F.length("body").alias("length"), F.unhex(F.sha2("body", 256)).alias("sha"))
     )
     best = F.struct((-F.col("n")).alias("n"), F.col("doc_id").isNull().alias("absent"), "doc_id")
+    runs = thin.groupBy(*RUN).agg(F.count("*").alias("size"), F.min(F.when(F.col("leads"), F.struct("length", "sha", best.alias("best")))).alias("first"))
     groups = (
-        thin.groupBy("sha", "shard")
-        .agg(F.count("*").alias("size"), F.min(F.when(F.col("leads"), best)).alias("best"))
-        .groupBy("sha")
-        .agg(F.sum("size").alias("group_size"), F.min("best").alias("best"), F.collect_list("shard").alias("shards"))
+        runs.groupBy("first.length", "first.sha")
+        .agg(F.sum("size").alias("group_size"), F.min("first.best").alias("best"), F.collect_list(F.struct(*RUN)).alias("runs"))
         .filter(F.col("group_size") > 1)
-        .select("sha", "group_size", F.col("best.doc_id").alias("keep_id"), F.lit(True).alias("many"), F.explode("shards").alias("shard"))
+        .select("group_size", F.col("best.doc_id").alias("keep_id"), F.lit(True).alias("many"), F.inline("runs"))
     )
-    # Only texts with copies join back, a row for each shard they occur in: a hot group is spread by its shards.
-    joined = thin.join(groups, ["sha", "shard"], "left")
+    # Only texts with copies join back, a row for each of their runs: a hot group is spread by its shards.
+    joined = thin.join(groups, RUN, "left")
     many = F.col("many").isNotNull()
     return joined.select(
         "doc_id",
