@@ -1,7 +1,8 @@
 """Chat formatting by a finite-state machine over roles, from a declarative template.
 
 A template names the roles, the turns that may follow each state, which roles carry loss, and the
-control strings. Texts (and role names) are escaped before they enter the output, so a control
+control strings. The machine's state is the last role; each turn is a move from the state before it,
+and the move decides the turn's loss flag and whether the conversation is valid. Texts (and role names) are escaped before they enter the output, so a control
 string inside a text can neither open nor close a turn, and unescaping gives the text back exactly.
 
 Built from DataFrame functions only.
@@ -83,32 +84,33 @@ def format_conversations(turns: DataFrame, template: Template = DIALOGUE) -> Dat
     wrong), null where valid.
     """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    allowed = F.create_map(*chain.from_iterable((F.lit(s), F.array(*map(F.lit, to))) for s, to in template.follows.items()))
+    # The machine: its state is the last role. A move (state, role) that it knows says whether the turn's text has loss.
+    moves = F.create_map(*chain.from_iterable((F.lit(f"{state}\0{to}"), F.lit(to in template.loss)) for state, follows in template.follows.items() for to in follows))
 
-    def step(state: Column, turn: Column) -> Column:
-        fits = F.coalesce(F.array_contains(F.try_element_at(allowed, state["role"]), turn["role"]), F.lit(False))
-        bad = F.when(state["bad"] >= 0, state["bad"]).when(fits, F.lit(-1)).otherwise(state["at"])
-        return F.struct(turn["role"].alias("role"), (state["at"] + 1).alias("at"), bad.alias("bad"))
-
-    start = F.struct(F.lit("start").alias("role"), F.lit(0).alias("at"), F.lit(-1).alias("bad"))
+    def step(turn: Column, at: Column) -> Column:
+        state = F.when(at == 0, "start").otherwise(F.try_element_at("turns", at)["role"])  # element `at` of an array that counts from 1 is the turn before
+        move = F.try_element_at(moves, F.concat(state, F.lit("\0"), turn["role"]))
+        return F.struct(turn["role"].alias("role"), turn["text"].alias("text"), move.isNotNull().alias("known"), F.coalesce(move, turn["role"].isin(*template.loss)).alias("loss"))
 
     def segments(turn: Column) -> Column:
         head = F.concat(F.lit(OPEN), escaped(turn["role"], template), F.lit(template.head_end))
         return F.array(
             F.struct(head.alias("text"), F.lit(False).alias("loss")),
-            F.struct(escaped(turn["text"], template).alias("text"), turn["role"].isin(*template.loss).alias("loss")),
+            F.struct(escaped(turn["text"], template).alias("text"), turn["loss"].alias("loss")),
             F.struct(F.lit(template.turn_end).alias("text"), F.lit(False).alias("loss")),
         )
 
-    state = F.col("state")
-    ended = state["role"].isin(*template.ends)
-    bad = F.when(state["bad"] >= 0, state["bad"]).when(~ended, state["at"])
+    n = F.size("steps")
+    unknown = F.array_position(F.transform("steps", lambda s: s["known"]), False) - 1
+    ended = F.try_element_at("steps", n)["role"].isin(*template.ends)
+    bad = F.when(unknown >= 0, unknown).when(~ended, n.cast("long")).cast("int")
     return (
         turns.select("conv_id", F.struct("turn", role.alias("role"), text.alias("text")).alias("t"))
         .groupBy("conv_id")
         .agg(F.array_sort(F.collect_list("t")).alias("turns"))
-        .select("conv_id", F.flatten(F.transform("turns", segments)).alias("segments"), F.aggregate("turns", start, step).alias("state"))
-        .select("conv_id", "segments", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"), bad.isNull().alias("valid"), bad.alias("bad_position"))
+        .select("conv_id", F.transform("turns", step).alias("steps"))
+        .select("conv_id", F.flatten(F.transform("steps", segments)).alias("segments"), bad.alias("bad_position"))
+        .select("conv_id", "segments", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"), F.col("bad_position").isNull().alias("valid"), "bad_position")
     )
 
 
@@ -117,9 +119,10 @@ def read_back(formatted: Column, template: Template = DIALOGUE) -> Column:
     pieces = F.split(formatted, f"\\Q{template.turn_end}\\E", -1)
 
     def turn(piece: Column) -> Column:
-        cut = F.instr(piece, template.head_end)
-        role = F.substring(piece, F.lit(len(OPEN) + 1), cut - len(OPEN) - 1)
-        text = F.substring(piece, cut + len(template.head_end), F.length(piece))
+        rest = F.substring(piece, len(OPEN) + 1, 1 << 30)  # the opening mark's own bar may stand before a role that begins with `>`
+        cut = F.instr(rest, template.head_end)
+        role = F.substring(rest, F.lit(1), cut - 1)
+        text = F.substring(rest, cut + len(template.head_end), F.length(rest))
         return F.struct(unescaped(role, template).alias("role"), unescaped(text, template).alias("text"))
 
     return F.transform(F.slice(pieces, 1, F.size(pieces) - 1), turn)

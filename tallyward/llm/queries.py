@@ -65,17 +65,18 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "warc")
-    warc.write_archives(table(spark, folder, "pages"), path)
+    path, pages = scratch_path(spark, "warc"), table(spark, folder, "pages")
+    warc.write_archives(pages, path)
+    id_type = pages.schema["page_id"].dataType
     # A response counts as read back only if its digest is that of the bytes read; a revisit has the headers alone.
     intact = F.col("verified") | (F.col("record_type") == "revisit")
     records = warc.read_archives(spark, path, record_type=["response", "revisit"])
     return records.select(
-        F.col("record_id").cast("long").alias("page_id"),
+        F.nullif(F.col("record_id"), F.lit("")).cast(id_type).alias("page_id"),  # a null id is written as an empty one
         F.coalesce(F.length("payload").cast("long"), F.col("payload_length")).alias("payload_bytes"),
         F.when(intact, F.col("payload_digest")).otherwise(F.raise_error(F.lit("a payload differs from its digest"))).alias("payload_digest"),
         "record_type",
-        F.col("refers_to").cast("long").alias("refers_to"),
+        F.nullif(F.col("refers_to"), F.lit("")).cast(id_type).alias("refers_to"),
     )
 
 
@@ -106,6 +107,8 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         chat.read_back(F.col("formatted"), template).alias("turns"),
         F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: chat.unescaped(s["text"], template)), "").alias("loss"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+        F.col("bad_position").cast("long").alias("bad_position"),
     )
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
@@ -115,6 +118,8 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         F.char_length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
         "formatted_chars",
+        "valid",
+        "bad_position",
     )
 
 
@@ -127,15 +132,21 @@ def _escaped_sql(column: str) -> str:
 
 SQL["op9_chat_format"] = f"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
-SELECT conv_id, count(*) AS n_turns,
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+o AS (SELECT conv_id, role, row_number() OVER w - 1 AS place, count(*) OVER (PARTITION BY conv_id) AS n, coalesce(lag(role) OVER w, 'start') AS state
+      FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+m(state, role) AS (VALUES ('start', 'system'), ('start', 'user'), ('system', 'user'), ('user', 'assistant'), ('assistant', 'user')),
+b AS (SELECT conv_id, coalesce(min(CASE WHEN m.role IS NULL THEN place END), max(CASE WHEN place = n - 1 AND o.role <> 'assistant' THEN n END)) AS bad_position
+      FROM o LEFT JOIN m ON m.state = o.state AND m.role = o.role GROUP BY conv_id)
+SELECT conv_id, any_value(bad_position) IS NULL AS valid, any_value(bad_position) AS bad_position, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(length('<|') + length({_escaped_sql("role")}) + length('|>' || chr(10)) + length({_escaped_sql("text")}) + length('<|end|>' || chr(10))) AS BIGINT) AS formatted_chars
-FROM t GROUP BY conv_id
+FROM t JOIN b USING (conv_id) GROUP BY conv_id
 """
 
+
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return language_id.identify(docs, language_id.fit(docs))
@@ -168,7 +179,9 @@ def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 SQL["op12_line_dedup"] = r"""
 WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
-k AS (SELECT *, translate(regexp_replace(line, '^[ 	-]+|[ 	-]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM l),
+k AS (SELECT *, translate(regexp_replace(line, '^[ 	-
+]+|[ 	-
+]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM l),
 r AS (SELECT body, max(doc_id) AS stays FROM k WHERE length(body) >= 20 GROUP BY body HAVING count(DISTINCT doc_id) >= 3),
 m AS (SELECT k.*, stays IS NOT NULL AND doc_id <> stays AS gone FROM k LEFT JOIN r USING (body))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256

@@ -3,7 +3,8 @@
 Reading plans the archive files into partitions of bounded size. In each record the headers are
 parsed first; a record that the wanted types or header values exclude is skipped without decoding
 its payload (uncompressed files jump over it, compressed ones inflate past it without keeping
-it). Predicates reach the reader as options, and through Spark's filter pushdown where the session
+it). Header names count in any case, a compressed member may hold any number of records, and a
+record that breaks off is an error whether its payload is wanted or not. Predicates reach the reader as options, and through Spark's filter pushdown where the session
 enables it. Writing gives each task files of its own, one gzip member for each record, and a
 manifest of the committed files, so that a repeated or lost task leaves no records that count.
 
@@ -46,7 +47,7 @@ HEADERS = {
     "refers_to": "WARC-Refers-To",
 }
 LENGTH_HEADER = "X-Payload-Length"
-READ, BATCH, PARTITION, FILE = 1 << 20, 4 << 20, 64 << 20, 256 << 20
+READ, BATCH, PARTITION, FILE = 1 << 20, 4 << 20, 16 << 20, 64 << 20
 URN = "<urn:page:{}>"
 
 
@@ -63,48 +64,47 @@ class _Records:
 
     def __init__(self, source, compressed: bool):
         self.source, self.compressed = source, compressed
-        self.raw, self.member = b"", None
+        self.raw, self.member, self.ended = b"", None, False
 
     def _more(self) -> bytes:
-        """Some more of the current record's bytes; empty at its end (compressed) or the file's."""
+        """The next bytes of the archive, across the members of a compressed one; empty at its end only."""
         while True:
-            if not self.raw:
+            if not self.raw and not self.ended:
                 self.raw = self.source.read(READ)
+                self.ended = not self.raw
             if not self.compressed:
                 data, self.raw = self.raw, b""
                 return data
-            if not self.raw or self.member.eof:
-                return b""
+            if self.member is None or self.member.eof:
+                if not self.raw:
+                    return b""
+                self.member = zlib.decompressobj(31)
             data = self.member.decompress(self.raw, READ)
             self.raw = self.member.unused_data if self.member.eof else self.member.unconsumed_tail
             if data:
                 return data
+            if self.ended and not self.member.eof:
+                raise ValueError("a compressed WARC member ends early")
 
     def __iter__(self) -> Iterator[tuple[dict[str, str], object]]:
+        """(headers with names in lower case, a call that gives the payload) of each record, however records share members."""
         left = b""
         while True:
-            if self.compressed:
-                self.raw = self.raw or self.source.read(READ)
-                if not self.raw:
-                    return
-                self.member, left = zlib.decompressobj(31), b""
             left = left.lstrip(b"\r\n")
             while (end := left.find(b"\r\n\r\n")) < 0:
                 data = self._more()
                 if not data:
-                    break
+                    if left.strip():
+                        raise ValueError("a WARC record without the end of its headers")
+                    return
                 left = (left + data).lstrip(b"\r\n")
-            if end < 0:
-                if left.strip():
-                    raise ValueError("a WARC record without the end of its headers")
-                if self.compressed and self.raw:
-                    continue
-                return
-            first, *lines = left[:end].decode("utf-8", "replace").split("\r\n")
+            first, *lines = left[:end].decode("utf-8", "replace").replace("\r\n ", " ").replace("\r\n\t", " ").split("\r\n")
             if not first.startswith("WARC/"):
                 raise ValueError(f"not a WARC record: {first[:40]!r}")
-            headers = {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-            left, length, taken = left[end + 4 :], int(headers["Content-Length"]), False
+            headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+            if not headers.get("content-length", "").isdigit():
+                raise ValueError(f"a WARC record without a length: {headers.get('warc-record-id')}")
+            left, length, taken = left[end + 4 :], int(headers["content-length"]), False
 
             def payload() -> bytes:
                 nonlocal left, taken
@@ -121,19 +121,27 @@ class _Records:
 
             yield headers, payload
             if not taken:
-                self._pass(length, left)
-                left = b"" if len(left) < length else left[length:]
-            if self.compressed:
-                while not self.member.eof and self._more():
-                    pass
-
-    def _pass(self, length: int, left: bytes) -> None:
-        if not self.compressed and length > len(left):
-            rest = length - len(left)
-            skipped = min(rest, len(self.raw))
-            self.raw = self.raw[skipped:]
-            if rest > skipped:
-                self.source.seek(self.source.tell() + rest - skipped)
+                left = left[length:] if len(left) >= length else self._passed(length - len(left))
+
+    def _passed(self, rest: int) -> bytes:
+        """Passes over the rest of a payload; returns what was read beyond it."""
+        if not self.compressed:
+            if rest > len(self.raw):  # jump, but not past the end
+                to = self.source.tell() + rest - len(self.raw)
+                if to > self.source.size():
+                    raise ValueError("a WARC payload ends early")
+                self.source.seek(to)
+                rest = len(self.raw)
+            self.raw = self.raw[rest:]
+            return b""
+        while rest > 0:
+            data = self._more()
+            if not data:
+                raise ValueError("a WARC payload ends early")
+            if len(data) > rest:
+                return data[rest:]
+            rest -= len(data)
+        return b""
 
 
 @dataclass
@@ -170,7 +178,7 @@ class WarcReader(DataSourceReader):
         for path in partition.paths:
             with system.open_input_file(path) as source:
                 for headers, payload in _Records(source, path.endswith(".gz")):
-                    row = {c: headers.get(h) for c, h in HEADERS.items()}
+                    row = {c: headers.get(h.lower()) for c, h in HEADERS.items()}
                     for c in ("record_id", "refers_to"):
                         row[c] = row[c][1:-1].rsplit(":", 1)[-1] if row[c] else None
                     if row["target_uri"] is not None:
@@ -179,7 +187,7 @@ class WarcReader(DataSourceReader):
                         row["payload_digest"] = row["payload_digest"].removeprefix("sha1:")
                     if any(row[c] not in values for c, values in self.wanted.items()):
                         continue
-                    row["payload_length"] = int(headers.get(LENGTH_HEADER, headers["Content-Length"]))
+                    row["payload_length"] = int(headers.get(LENGTH_HEADER.lower(), headers["content-length"]))
                     row["payload"] = payload() if self.payload and row["record_type"] != "revisit" else None
                     row["verified"] = None if row["payload"] is None else base32_sha1(row["payload"]) == row["payload_digest"]
                     rows.append(row)
@@ -302,16 +310,21 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     spark = pages.sparkSession
     spark.dataSource.register(WarcDataSource)
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("payload_sha1", F.unhex(F.sha1("payload"))).withColumn("payload_length", F.length("payload").cast("long"))
-    thin = cut_lineage(rows.select("page_id", "payload_sha1", "payload_length"))
+    rows = (
+        pages.select("page_id", "url", payload.alias("payload"))
+        .withColumn("payload_sha1", F.unhex(F.sha1("payload")))
+        .withColumn("payload_length", F.length("payload").cast("long"))
+        .withColumn("content", F.unhex(F.sha2("payload", 256)))  # SHA-1 is what the format wants; it does not prove equality
+    )
+    thin = cut_lineage(rows.select("page_id", "content", "payload_length"))
     # Written on its own, so that Spark can split the pages of a frequent payload.
     last = cut_lineage(
-        thin.filter(F.col("payload_length") >= least_bytes).groupBy("payload_sha1").agg(F.max("page_id").alias("last_id"), F.count("*").alias("n")).filter("n > 1").drop("n")
+        thin.filter(F.col("payload_length") >= least_bytes).groupBy("content", "payload_length").agg(F.max("page_id").alias("last_id"), F.count("*").alias("n")).filter("n > 1").drop("n")
     )
-    revisits = thin.join(last, "payload_sha1").filter(~F.col("page_id").eqNullSafe(F.col("last_id")))
-    revisits = cut_lineage(revisits.select(F.col("page_id").alias("revisit_id"), F.col("payload_sha1").alias("revisit_sha1"), "last_id").distinct())
-    bodies = rows.join(revisits, F.col("page_id").eqNullSafe(F.col("revisit_id")) & (F.col("payload_sha1") == F.col("revisit_sha1")), "left")
-    revisit = F.col("revisit_sha1").isNotNull()
+    revisits = thin.join(last, ["content", "payload_length"]).filter(~F.col("page_id").eqNullSafe(F.col("last_id")))
+    revisits = cut_lineage(revisits.select(F.col("page_id").alias("revisit_id"), F.col("content").alias("revisit_content"), "last_id").distinct())
+    bodies = rows.join(revisits, F.col("page_id").eqNullSafe(F.col("revisit_id")) & (F.col("content") == F.col("revisit_content")), "left")
+    revisit = F.col("revisit_content").isNotNull()
     (
         bodies.select(
             F.when(revisit, "revisit").otherwise("response").alias("record_type"),
