@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyward.llm import fill_middle, hard_negatives, line_dedup
+from tallyward.llm import chat, exact_dedup, fill_middle, hard_negatives, html_text, line_dedup, secret_scan, warc
 from tallyward.llm import queries as registered
 from tallyward.llm.common import table
 
@@ -260,3 +260,153 @@ def test_hard_negatives_query_flips_labels(spark, sf):
     rows = table(spark, sf, "embeddings").collect()
     flipped = [(r.vec_id, r.embedding, (r.label + 1) % 10 if r.vec_id % 7 == 0 else r.label) for r in rows]
     assert sorted(tuple(r) for r in registered.op11_hard_negatives(spark, sf).collect()) == mined(flipped, lambda i: i % 100 == 0)
+
+
+# Mended operators of earlier rounds
+
+
+def mixed_hosts():
+    """Pages of one host in several layouts, with boilerplate that has no telling names: (layouts, html, article)."""
+    def page(kind, i, article):
+        return f"<body><div class='q{kind} top'><p>Free delivery for everyone {i % 3}</p></div>{article}<div class='z{kind}'><p>Read what others bought, and more of that kind</p></div></body>"
+
+    text = "The article goes on for a while, sentence after sentence, with words. " * 6 + "It ends at"
+    for layouts in (2, 4, 10):
+        yield [(page(i % layouts, i, f"<div class='l{'abcdefghij'[i % layouts]}'><p>{text} {i}</p></div>"), f"{text} {i}") for i in range(80)]
+    for share in (10, 30, 45):
+        yield [(page("", i, f"<article class='cat-{'x' if i % 100 < share else 'y'}'><p>{text} {i}</p></article>"), f"{text} {i}") for i in range(100)]
+    yield [(page("", i, f"<article class='cat-{'abcdefghij'[i % 10]}'><p>{text} {i}</p></article>"), f"{text} {i}") for i in range(100)]
+
+
+def test_mixed_hosts_leak_nothing(spark):
+    rows, wanted = [], {}
+    for h, pages in enumerate(mixed_hosts()):
+        for i, (html, text) in enumerate(pages):
+            rows.append((1000 * h + i, f"http://h{h}.org/{i}", html))
+            wanted[1000 * h + i] = text
+    found = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in found} == wanted
+
+
+def test_consensus_beats_one_odd_page(spark):
+    """A page whose longest container is not the host's article takes the article; a container of few pages outdoes nothing."""
+    wide = "<body><div class='t{}'><p>{}</p></div><div class='story'><p>{}</p></div></body>"
+    rows = [(i, "http://a.org/x", wide.format(i, "short", "the long article text " * 5)) for i in range(30)]
+    rows += [(99, "http://a.org/y", wide.format("zz", "a long teaser, this once " * 9, "the article")), (100, "http://b.org", "<body><p>only text</p><div><p>x</p></div></body>")]
+    found = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found[99] == "the article" and found[100] == "only text\n\nx"
+
+
+def test_deep_pages_take_little_memory():
+    import tracemalloc
+
+    for source in ("<div>" * 40_000 + "end", "<div><p>" * 20_000 + "</b>" * 20_000 + "end", "<ul><li><div>" * 13_000 + "end"):
+        tracemalloc.start()
+        page = html_text.Page(source)
+        assert page.text({}) == "end"
+        assert tracemalloc.get_traced_memory()[1] < 200 << 20
+        tracemalloc.stop()
+
+
+def test_all_articles_of_a_larger_table(spark):
+    folder = "/root/testdata/sf0.01"
+    for r in html_text.main_text(table(spark, folder, "pages")).join(table(spark, folder, "pages").select("page_id", "html"), "page_id").collect():
+        inner = re.search(r"<article>(.*?)</article>", r.html, re.DOTALL)[1]
+        blocks = [" ".join(html_text.entities.unescape(re.sub("<br>", " ", re.sub("</?b>", "", b))).split()) for b in re.split("</?(?:p|h1)>", inner)]
+        assert r.text == "\n\n".join(b for b in blocks if b)
+
+
+KEY = "AKIA" + "Q2W3E4R5T6Y7U8I9"
+
+
+@pytest.mark.parametrize("text", ["%FF" + KEY.replace("A", "%41"), "%00%00" + "".join(f"%{ord(c):02x}" for c in KEY), "".join(f"%{ord(c):02X}" for c in KEY) + "%C3", "%E9%FF%41" + KEY[1:], "caf%E9%20" + "".join(f"%{b:02x}" for b in b"token=abcdef123")])
+def test_bad_bytes_hide_no_secret(text):
+    base, found, partly = secret_scan.scanned(text)
+    assert not partly and any(kind in (0, 1) for _, kind, _ in found), found
+    start, _, end = found[0]
+    assert 0 <= start < end <= len(text)
+
+
+def test_mixed_bytes_keep_their_spans():
+    text = "x%FF" + "".join(f"%{ord(c):02x}" for c in KEY) + "%FE y"
+    assert secret_scan.scan(text)[1] == [(4, 1, 4 + 3 * len(KEY))]
+
+
+def test_a_layer_that_is_too_long_says_so(spark, monkeypatch):
+    import base64
+    import gzip
+
+    monkeypatch.setattr(secret_scan, "MAX_LAYER", 1000)
+    long, short = (base64.b64encode(gzip.compress((KEY + " " + "x" * n).encode())).decode() for n in (5000, 10))
+    assert secret_scan.scanned(long)[2] and not secret_scan.scanned(short)[2] and secret_scan.scan(long)[1]
+    monkeypatch.undo()
+    docs = documents(spark, [(1, long, None), (2, None, None)])
+    assert {r.doc_id: r.partly_scanned for r in secret_scan.secrets(docs).collect()} == {1: False, 2: False}
+
+
+def test_archives_through_the_query(spark, folder):
+    pages = [(1, "u", "x"), (None, "u", "x"), (None, "u", "only here"), (3, None, None), (2, "w", "x")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    got = sorted(((r.page_id, r.record_type, r.refers_to) for r in registered.op7_warc(spark, folder).collect()), key=str)
+    assert got == sorted([(1, "revisit", 2), (2, "response", None), (3, "response", None), (None, "response", None), (None, "revisit", 2)], key=str)
+
+
+def test_archives_of_other_writers(spark, folder):
+    import gzip
+    import os
+    import zlib
+
+    def record(i, body, names=str):
+        headers = {"WARC-Type": "response", "WARC-Record-ID": f"<urn:page:{i}>", "Content-Length": str(len(body))}
+        return b"WARC/1.0\r\n" + "".join(f"{names(k)}: {v}\r\n" for k, v in headers.items()).encode() + b"\r\n" + body + b"\r\n\r\n"
+
+    bodies = [os.urandom(3_000_000), b"", b"WARC/1.0\r\n\r\n", b"y" * 70_000, b"\r\n\r\nend"]
+    records = b"".join(record(i, b, str.lower if i % 2 else str) for i, b in enumerate(bodies))
+    os.makedirs(f"{folder}/one")
+    with open(f"{folder}/one/a.warc.gz", "wb") as f:
+        f.write(gzip.compress(records))  # one member
+    with open(f"{folder}/one/b.warc.gz", "wb") as f:
+        f.write(gzip.compress(records[:100]) + gzip.compress(records[100:]))  # members end anywhere
+    with open(f"{folder}/one/c.warc", "wb") as f:
+        f.write(records)
+    for payload in (True, False):
+        got = warc.read_archives(spark, f"{folder}/one", payload=payload).collect()
+        assert sorted((r.record_id, r.payload_length) for r in got) == sorted((str(i), len(b)) for i, b in enumerate(bodies) for _ in range(3))
+        assert not payload or all(bytes(r.payload) == bodies[int(r.record_id)] for r in got)
+    # What breaks off is an error, whether it is read or passed over.
+    packed = zlib.compressobj(6, zlib.DEFLATED, 31)
+    for n, (name, data) in enumerate([("c.warc", records[:-40]), ("d.warc", records[:1_000_000]), ("e.warc.gz", gzip.compress(records)[:-9]), ("f.warc.gz", gzip.compress(records[:-40])), ("g.warc", b"WARC/1.0\r\nWARC-Type: x\r\n\r\n")]):
+        os.makedirs(f"{folder}/bad{n}")
+        with open(f"{folder}/bad{n}/{name}", "wb") as f:
+            f.write(data)
+        for payload in (True, False):
+            with pytest.raises(Exception, match="early|without"):
+                warc.read_archives(spark, f"{folder}/bad{n}", payload=payload).collect()
+
+
+def test_the_machine_stands_in_the_query(spark, sf):
+    plan = registered.op9_chat_format(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    assert "start" in plan and "assistant" in plan
+    turns = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, "assistant", "x"), (2, 1, "user", "y"), (3, 0, ">\nodd|>", "<|end|>\n␛1"), (3, 1, "user", "z"), (4, 0, "system", ""), (4, 1, "user", None)]
+    out = {r.conv_id: r for r in chat.format_conversations(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).withColumn("turns", chat.read_back(F.col("formatted"))).collect()}
+    assert {i: (r.valid, r.bad_position) for i, r in out.items()} == {1: (True, None), 2: (False, 0), 3: (False, 0), 4: (False, 2)}
+    assert [(t.role, t.text) for t in out[3].turns] == [(">\nodd|>", "<|end|>\n␛1"), ("user", "z")]
+    assert [s.text for s in out[2].segments if s.loss] == ["x"] and [s.text for s in out[1].segments if s.loss] == ["b"]
+    # A machine with other moves gives other answers: nothing but its table decides.
+    free = chat.Template(follows={"start": ("assistant",), "assistant": ("user",)}, ends=("user",), loss=("user",))
+    other = {r.conv_id: r for r in chat.format_conversations(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"), free).collect()}
+    assert other[2].valid and not other[1].valid and [s.text for s in other[2].segments if s.loss] == ["y"]
+
+
+def test_groups_come_from_neighbours(spark, monkeypatch):
+    docs = documents(spark, [(i, f"text {i // 3}", None) for i in range(30)])
+    want = sorted((r.doc_id, r.keep_id, r.group_size) for r in exact_dedup.exact_duplicates(docs).collect())
+    assert want == [(i, i // 3 * 3, 3) for i in range(30)]
+    hot = documents(spark, [(i, "same  text" if i % 2 else "sametext", None) for i in range(500)])
+    got = exact_dedup.exact_duplicates(hot, shards=4).collect()
+    assert {(r.keep_id, r.group_size) for r in got} == {(1, 500)} and [r.doc_id for r in got if r.kept] == [1]
+    # Without the comparison of neighbours every row is its own run's member, and groups differ.
+    monkeypatch.setattr(exact_dedup.F, "lag", lambda c: F.first(c))
+    off = sorted((r.doc_id, r.keep_id, r.group_size) for r in exact_dedup.exact_duplicates(docs, shards=1).collect())
+    assert off != want
