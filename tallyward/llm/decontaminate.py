@@ -4,10 +4,11 @@ A window is ``window`` consecutive words of a benchmark item. Words are runs of
 digits and of all non-ASCII characters, ASCII letters in lower case. Each window is represented by
 the smallest hash among its k-grams: two equal windows always have the same smallest hash, so every
 shared span of ``window`` words shares a fingerprint at the same place (no misses), while a chance
-hit needs an equal k-gram first. Documents probe a bitmap of the benchmark's fingerprints, of fixed
-size whatever the benchmark's; what passes is joined with the benchmark by fingerprint and by the
-words of the window, so a hit is exact and brings no pairs of rows. Overlapping hits extend to
-spans. Items shorter than a window are windows of their own length, found through the hash of all
+hit needs an equal k-gram first. Documents probe a filter of the benchmark's fingerprints, sized by
+their number up to 64 MB (some 16 million of them; beyond, more passes by chance); what passes is joined with the
+benchmark by fingerprint and by the words of the window, so a hit is exact and brings no pairs of rows.
+Windows that stand in the same items are one class, and a document meets the items of a class once.
+Overlapping hits extend to spans. Items shorter than a window are windows of their own length, found through the hash of all
 their words.
 
 Edge cases: null texts have no words; documents and items without words match nothing and the
@@ -31,8 +32,10 @@ from tallyward.context import cut_lineage
 from .common import text_chunks
 
 WINDOW, KGRAM = 10, 8
-#: Bits of the benchmark's bitmap: 2 MB however large the benchmark is.
-BITMAP_BITS = 24
+#: Bits of the filter for each fingerprint of the benchmark, bits that one sets, exponent of the largest filter (64 MB).
+FILTER_BITS, PROBES, LARGEST = 32, 3, 29
+
+CLASS = ["class0", "class1", "class2"]
 
 _BYTE = np.arange(256, dtype=np.uint8)
 #: A-Z to a-z, other bytes as they are; 0 for what separates words.
@@ -128,12 +131,18 @@ def _item_windows(window: int, k: int):
     return run
 
 
-def _document_windows(lengths: list[tuple[int, int]], bitmap: np.ndarray, bits: int):
-    shift = np.uint64(64 - bits)
+def _slots(prints: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """The places of the fingerprints in a filter of 2^bits."""
+    for i in range(PROBES):
+        yield _mixed(prints + np.uint64(i) * _STEP) >> np.uint64(64 - bits)
+
 
+def _document_windows(lengths: list[tuple[int, int]], shared, bits: int):
     def listed(prints: np.ndarray) -> np.ndarray:
-        slot = prints >> shift
-        return (bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
+        filled, found = shared.value, np.ones(len(prints), bool)
+        for slot in _slots(prints, bits):
+            found &= (filled[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & np.uint8(1) != 0
+        return found
 
     hit_type = pa.list_(pa.struct([("print", pa.int64()), ("at", pa.int32()), ("length", pa.int32()), ("words", pa.string())]))
 
@@ -160,37 +169,55 @@ def _document_windows(lengths: list[tuple[int, int]], bitmap: np.ndarray, bits:
     return run
 
 
-def _bitmap(prints: DataFrame, bits: int) -> np.ndarray:
-    """The fingerprints as a bitmap: Spark ORs the bits of each 64-bit word, so at most 2^bits / 64 rows arrive."""
-    slot = F.shiftrightunsigned("print", 64 - bits)
-    bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
-    rows = prints.select(slot.alias("slot")).select(F.shiftright("slot", 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
-    out = np.zeros(1 << (bits - 6), np.int64)
-    for word, value in rows:
-        out[word] = value
-    return out.view(np.uint64)
+def _filter_words(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The bytes of the filter that the batch's fingerprints set, and their bits."""
+        for batch in batches:
+            prints = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            slots = np.concatenate([*_slots(prints, bits)])
+            yield pa.RecordBatch.from_arrays([pa.array((slots >> np.uint64(3)).astype(np.int64)), pa.array((1 << (slots & np.uint64(7))).astype(np.int32))], ["at", "bits"])
+
+    return run
+
+
+def _filter(prints: DataFrame, bits: int) -> np.ndarray:
+    """The filter of the fingerprints. Spark ORs the bits of each byte, so at most 2^bits / 8 rows arrive, as columns."""
+    found = prints.select("print").distinct().mapInArrow(_filter_words(bits), "at long, bits int").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    out[found["at"].to_numpy()] = found["bits"].to_numpy().astype(np.uint8)
+    return out
+
+
+def filter_bits(n: int) -> int:
+    """The exponent of the size of a filter for n fingerprints."""
+    return max(16, min(LARGEST, (FILTER_BITS * n).bit_length()))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = KGRAM, bits: int = BITMAP_BITS, row: str | None = None) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = KGRAM, bits: int | None = None, row: str | None = None) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and the ``row`` column if named."""
     items = cut_lineage(
         benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").mapInArrow(_item_windows(window, k), "item_id string, print long, words string").distinct()
     )
     n_words = F.size(F.split("words", " "))
     short = [r[0] for r in items.select(n_words.alias("n")).filter(F.col("n") < window).distinct().collect()]  # fewer than `window` values
+    bits = bits or filter_bits(items.count())
+    shared = docs.sparkSession.sparkContext.broadcast(_filter(items, bits))  # 2^LARGEST bits at most
     ids = ["doc_id", *([row] if row else [])]
     kinds = ", ".join(f"id{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(ids))
     schema = f"row long, {kinds}, n_words long, hits array<struct<print: long, at: int, length: int, words: string>>"
-    base = cut_lineage(docs.select("text", *ids).mapInArrow(_document_windows(_lengths(window, k, short), _bitmap(items, bits), bits), schema))
+    base = cut_lineage(docs.select("text", *ids).mapInArrow(_document_windows(_lengths(window, k, short), shared, bits), schema))
     # One benchmark row for each fingerprint and window: the join brings at most one row for each window of a document.
-    known = items.select("print", "words").distinct()
+    # Its class is known by the number of its items and two sums of their hashes.
+    sums = [F.sum(F.xxhash64(F.lit(i), "item_id").cast("decimal(38,0)")).alias(f"class{i}") for i in (1, 2)]
+    known = cut_lineage(items.groupBy("print", "words").agg(F.count("*").alias("class0"), *sums))
+    members = items.join(known, ["print", "words"]).select(*CLASS, "item_id").distinct()
     found = base.select("row", F.explode("hits").alias("h")).select("row", "h.*").join(known, ["print", "words"])
     spans = (
         found.groupBy("row")
         .agg(F.size(F.array_distinct(F.flatten(F.collect_list(F.sequence("at", F.col("at") + F.col("length") - 1))))).cast("long").alias("n_hit"))
     )
     listed = (
-        found.select("row", "words").distinct().join(items.select("words", "item_id").distinct(), "words").select("row", "item_id").distinct()
+        found.select("row", *CLASS).distinct().join(members, CLASS).select("row", "item_id").distinct()
         .groupBy("row").agg(F.array_sort(F.collect_list("item_id")).alias("items"))
     )
     return (
