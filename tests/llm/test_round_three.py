@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyward.llm import chat, exact_dedup, fill_middle, hard_negatives, html_text, line_dedup, secret_scan, warc
+from tallyward.llm import chat, decontaminate, exact_dedup, fill_middle, hard_negatives, html_text, line_dedup, secret_scan, warc
 from tallyward.llm import queries as registered
 from tallyward.llm.common import table
 
@@ -410,3 +410,28 @@ def test_groups_come_from_neighbours(spark, monkeypatch):
     monkeypatch.setattr(exact_dedup.F, "lag", lambda c: F.first(c))
     off = sorted((r.doc_id, r.keep_id, r.group_size) for r in exact_dedup.exact_duplicates(docs, shards=1).collect())
     assert off != want
+
+
+def test_a_large_benchmark_lets_little_through(spark):
+    """Windows that pass the filter by chance are fewer than one in a hundred, whatever the benchmark's size."""
+    words = lambda seed, n: " ".join(f"w{x}" for x in np.random.default_rng(seed).integers(0, 5000, n))
+    items = spark.createDataFrame([(f"i{i}", words(i, 400)) for i in range(250)], "item_id string, text string")
+    docs = spark.createDataFrame([(i, words(10_000 + i, 2000)) for i in range(40)] + [(99, words(3, 400)[:300])], "doc_id long, text string")
+    found = items.mapInArrow(decontaminate._item_windows(10, 8), "item_id string, print long, words string")
+    bits = decontaminate.filter_bits(found.count())
+    shared = spark.sparkContext.broadcast(decontaminate._filter(found, bits))
+    schema = "row long, id0 long, n_words long, hits array<struct<print: long, at: int, length: int, words: string>>"
+    passed = docs.filter("doc_id < 99").select("text", "doc_id").mapInArrow(decontaminate._document_windows([(10, 8)], shared, bits), schema)
+    assert passed.agg(F.sum(F.size("hits"))).first()[0] < 0.01 * 40 * 1990
+    got = {r.doc_id: r.n_items for r in decontaminate.contamination(docs, items).collect()}
+    assert got[99] == 1 and sum(got.values()) == 1
+    # A filter far too small changes nothing.
+    assert sorted(map(str, decontaminate.contamination(docs, items, bits=8).collect())) == sorted(map(str, decontaminate.contamination(docs, items).collect()))
+
+
+def test_shared_windows_are_one_class(spark):
+    shared = " ".join(f"s{i}" for i in range(60))
+    items = spark.createDataFrame([(f"i{i}", f"own{i} {shared}") for i in range(50)] + [("i3", f"own3 {shared}")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"x {shared} y"), (2, f"own7 {shared}"), (3, "nothing")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items) for r in decontaminate.contamination(docs, items).collect()}
+    assert got == {1: (60, 50), 2: (61, 50), 3: (0, 0)}
