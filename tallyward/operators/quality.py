@@ -116,14 +116,15 @@ def constraint_violations(df: DataFrame, keys: list[str], not_null: list[str]) -
 
 
 def naming_conventions_check(assets: DataFrame, rules: DataFrame) -> DataFrame:
-    """Every asset name against the active pattern of its type; the level says what a miss means."""
+    """Every asset name against the active pattern of its type; the level says what a miss means. An asset of a type without a
+    rule stays, with neither a level nor a result."""
     active = rules.filter("is_active").select("asset_type", "pattern_regex", "enforcement_level")
     matches = M.whole_match(F.col("asset_name"), F.col("pattern_regex"))
-    return assets.join(active, "asset_type").select(
+    return assets.join(active, "asset_type", "left").select(
         "asset_type",
         "asset_name",
         "enforcement_level",
-        F.when(matches, "PASS").otherwise(F.col("enforcement_level")).alias("result"),
+        F.when(F.col("pattern_regex").isNotNull() & matches, "PASS").otherwise(F.col("enforcement_level")).alias("result"),
     )
 
 

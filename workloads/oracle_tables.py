@@ -286,8 +286,8 @@ _TENANCY = {
 SELECT concat('TNT-', lpad(CAST(1 + o_custkey % 3 AS VARCHAR), 6, '0')) AS tenant_id,
        CAST(l_shipdate AS DATE) AS revenue_date, p_type AS product_line, r_name AS region,
        CAST(l_extendedprice AS DECIMAL(12,2)) AS amount_usd, concat('C', o_custkey) AS customer_id
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-  JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey
+  LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
     "tenant_usage": f"""
 SELECT event_id, {_TENANT}, CAST(ts AS DATE) AS event_date, concat('U', user_id) AS user_id,
        event_type AS feature_name, event_id % 3600 AS session_duration_seconds
