@@ -35,12 +35,17 @@ def sampled(key: Column, rate: float) -> Column:
     return F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(grain)) < F.lit(min(grain, round(rate * grain)))
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """The name, or one made of it that no column has."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name = f"_{name}"
+    return name
+
+
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """The rows with a number of their own, and its column, a name that no other has; repeated rows and repeated ids
     stay apart by it. Each evaluation numbers anew, and otherwise where the scan is cut otherwise: store the rows before a second use."""
-    name = "row"
-    while name.lower() in {c.lower() for c in docs.columns}:
-        name = f"_{name}"
+    name = free_name(docs, "row")
     return docs.withColumn(name, F.monotonically_increasing_id()), name
 
 
