@@ -107,3 +107,12 @@ def test_near_copies_of_awkward_rows(spark):
     assert bin(simhash.fingerprint(long) ^ simhash.fingerprint(f"{long} end")).count("1") <= 3
     kept = corpus_pipeline.drop_near_copies(spark, docs, "")
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 0), (False, 3), (False, 4), (False, 5), (True, 0)] and kept.columns == docs.columns
+
+
+def test_benchmark_passages_in_repeated_rows(spark, sf):
+    passage = next(r.text for r in table(spark, sf, "benchmark").collect() if len(r.text.split()) > 12)
+    rows = [(1, passage), (1, "a clean text of the same id"), (2, "another clean text"), (2, "another clean text"), (None, f"so: {passage}"), (None, None)]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, mark string, hit_id int")
+    kept = corpus_pipeline.drop_benchmark(spark, docs, sf)
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == sorted([("1", "a clean text of the same id"), ("2", "another clean text"), ("2", "another clean text"), ("None", "None")])
+    assert kept.columns == docs.columns
