@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tallyward.context import cut_lineage, scratch_path
 from tallyward.llm import decontaminate, exact_dedup, language_id, packing, simhash
-from tallyward.llm.common import numbered, table
+from tallyward.llm.common import free_name, numbered, table
 
 
 def _numbered(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str]:
@@ -56,9 +56,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no window of words with the benchmark."""
-    rows, row = _numbered(spark, docs)
-    return _without(rows, decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), row=row).filter("contaminated"), row)
+    """Documents that share no window of words with the benchmark. Only the text decides, so rows are known by their id and a
+    hash of their text, and need no numbers."""
+    mark = free_name(docs, "mark")
+    marked = docs.withColumn(mark, F.xxhash64(F.coalesce("text", F.lit(""))))
+    found = decontaminate.contamination(marked, table(spark, sf_dir, "benchmark"), row=mark).filter("contaminated")
+    hit = cut_lineage(found.select(F.col("doc_id").alias("hit_id"), F.col(mark).alias("hit_mark")).distinct())
+    return marked.join(hit, marked[mark].eqNullSafe(hit["hit_mark"]) & marked["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti").drop(mark)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
