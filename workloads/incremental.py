@@ -162,7 +162,7 @@ ORACLE = {
     "customer_count_rollup": oracle(_ROLLUP),
     "catalog_changes": LIFECYCLE_ORACLE["flag_zombies"].rsplit("SELECT", 1)[0]
     + """, y AS (SELECT metric_fqn, x.tags, x.updated_at, CASE WHEN certification_status = 'CERTIFIED' THEN 2 ELSE 1 END AS n FROM x WHERE certification_status <> 'DEPRECATED')
-SELECT c.metric_fqn, CASE WHEN y.metric_fqn IS NULL THEN 'removed' ELSE 'changed' END AS change, 1 AS rows_before, coalesce(n, 0) AS rows_after
+SELECT c.metric_fqn, CASE WHEN y.metric_fqn IS NULL THEN 'removed' ELSE 'changed' END AS change, CAST(1 AS BIGINT) AS rows_before, CAST(coalesce(n, 0) AS BIGINT) AS rows_after
 FROM metric_catalog c LEFT JOIN y ON y.metric_fqn = c.metric_fqn
 WHERE y.metric_fqn IS NULL OR n = 2 OR y.tags IS DISTINCT FROM c.tags OR y.updated_at IS DISTINCT FROM c.updated_at""",
     "page_event_accounting": oracle(
