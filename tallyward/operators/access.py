@@ -48,19 +48,26 @@ def tenant_row_counts(df: DataFrame, tenant_users: DataFrame, principal: Princip
 def effective_roles(grants: DataFrame) -> DataFrame:
     """Every role a role inherits, directly or through others, with the shortest distance.
 
-    Each round extends only the pairs found in the round before by one grant, and keeps those that
-    are new: no pair is derived from the whole closure again. Rounds are as many as the hierarchy is
-    deep. Each is checkpointed: the plan stays short and a lost executor costs one round at most.
+    Each round doubles the distance covered: a shortest way of more than ``reach`` grants is one of exactly ``reach``, found
+    in the round before, and a known one after it. So rounds are as many as the logarithm of the hierarchy's depth, and cycles
+    end as soon as nothing is found at the full reach. Each round is checkpointed: the plan stays short and a lost executor
+    costs one round at most.
     """
-    edges = cut_lineage(grants.select("role", "granted_role").distinct().filter(F.col("role") != F.col("granted_role")))
-    step = edges.select(F.col("role").alias("via"), "granted_role")
-    rounds = [cut_lineage(edges.withColumn("distance", F.lit(1)))]
-    while not rounds[-1].isEmpty():
-        found = reduce(DataFrame.unionByName, rounds).select("role", "granted_role")
-        longer = rounds[-1].select("role", F.col("granted_role").alias("via")).join(step, "via").select("role", "granted_role").distinct()
-        fresh = longer.filter(F.col("role") != F.col("granted_role")).join(found, ["role", "granted_role"], "left_anti")
-        rounds.append(cut_lineage(fresh.withColumn("distance", F.lit(len(rounds) + 1))))
-    return reduce(DataFrame.unionByName, rounds)
+    edges = grants.select("role", "granted_role").distinct().filter(F.col("role") != F.col("granted_role"))
+    rounds, reach = [cut_lineage(edges.withColumn("distance", F.lit(1)))], 1
+    while True:
+        known = reduce(DataFrame.unionByName, rounds)
+        farthest = rounds[-1].filter(F.col("distance") == reach).select("role", F.col("granted_role").alias("via"))
+        if farthest.isEmpty():
+            return known
+        longer = (
+            farthest.join(known.withColumnRenamed("role", "via"), "via")
+            .filter(F.col("role") != F.col("granted_role"))
+            .groupBy("role", "granted_role")
+            .agg((F.min("distance") + reach).alias("distance"))
+        )
+        rounds.append(cut_lineage(longer.join(known, ["role", "granted_role"], "left_anti")))
+        reach *= 2
 
 
 def _entitlements(tenants: DataFrame) -> DataFrame:

@@ -13,19 +13,40 @@ from ..functions import dates as D
 from ..functions import measures as M
 
 
-def _by_customer(rev: DataFrame, period: Column, name: str) -> DataFrame:
-    """Per period, tenant, region, product line and customer: the distinct count becomes a plain count,
-    and a tenant with a third of the rows spreads over its customers."""
-    return rev.groupBy(period.alias(name), "tenant_id", "product_line", "region", "customer_id").agg(
-        F.sum("amount_usd").alias("amount"), F.count("amount_usd").alias("paid"), F.count(F.lit(1)).alias("n")
+def customer_cells(rev: DataFrame, unit: str) -> DataFrame:
+    """Per period (``unit``: day or month), tenant, region, product line and customer: the distinct count becomes a plain
+    count, and a tenant with a third of the rows spreads over its customers."""
+    return rev.groupBy(
+        D.trunc_date(F.col("revenue_date"), unit).alias("period"), "tenant_id", "product_line", "region", "customer_id"
+    ).agg(F.sum("amount_usd").alias("amount"), F.count("amount_usd").alias("paid"), F.count(F.lit(1)).alias("n"))
+
+
+def customer_cells_of_lines(lines: DataFrame, buyers: DataFrame, products: DataFrame, unit: str) -> DataFrame:
+    """The same cells from lines that know only their ``order_key`` and ``product_key``.
+
+    Raw lines are shuffled once, to meet their buyers (one row per order: tenant, region, customer). They are reduced to
+    (period, customer, product) before they leave the task, so only sums travel to the products (one row per product). A
+    line without an order or a product stays, under null.
+    """
+    who = ["tenant_id", "region", "customer_id"]
+    reduced = (
+        lines.join(buyers, "order_key", "left")
+        .groupBy(D.trunc_date(F.col("revenue_date"), unit).alias("period"), *who, "product_key")
+        .agg(F.sum("amount_usd").alias("amount"), F.count("amount_usd").alias("paid"), F.count(F.lit(1)).alias("n"))
     )
+    sums = [F.sum(c).alias(c) for c in ("amount", "paid", "n")]
+    return reduced.join(products, "product_key", "left").groupBy("period", "product_line", *who).agg(*sums)
 
 
 def bi_revenue_summary(rev: DataFrame, as_of: datetime) -> DataFrame:
     """Daily revenue by tenant, product line and region, with its provenance."""
+    return bi_summary_of_cells(customer_cells(rev, "day"), as_of)
+
+
+def bi_summary_of_cells(cells: DataFrame, as_of: datetime) -> DataFrame:
+    """The daily summary from cells by day and customer."""
     return (
-        _by_customer(rev, D.trunc_date(F.col("revenue_date"), "day"), "date")
-        .groupBy("date", "tenant_id", "product_line", "region")
+        cells.groupBy(F.col("period").alias("date"), "tenant_id", "product_line", "region")
         .agg(
             F.sum("amount").alias("total_revenue"),
             F.count("customer_id").alias("customer_count"),
@@ -51,9 +72,13 @@ def bi_tenant_totals(summary: DataFrame) -> DataFrame:
 
 def gdpr_safe_aggregates(rev: DataFrame, k: int = 5) -> DataFrame:
     """Monthly aggregates that may leave their region: groups of fewer than k customers are withheld."""
+    return safe_aggregates_of_cells(customer_cells(rev, "month"), k)
+
+
+def safe_aggregates_of_cells(cells: DataFrame, k: int = 5) -> DataFrame:
+    """The aggregates that may leave from cells by month and customer."""
     return (
-        _by_customer(rev, D.trunc_date(F.col("revenue_date"), "month"), "period")
-        .groupBy("period", "tenant_id", "region", "product_line")
+        cells.groupBy("period", "tenant_id", "region", "product_line")
         .agg(
             F.sum("amount").alias("total_revenue"),
             F.count("customer_id").alias("customer_count"),

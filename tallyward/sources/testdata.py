@@ -572,29 +572,45 @@ def promotion_requests(spark: SparkSession, folder: str) -> DataFrame:
 # ---------------------------------------------------------------- tenancy, interface, streams
 
 
-def tenant_revenue(spark: SparkSession, folder: str) -> DataFrame:
-    """Revenue of three tenants; a tenant holds a third of all rows. A line whose order, customer or part is unknown stays,
-    with what it lacks left null."""
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+def tenant_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw revenue lines: order, product, day and amount."""
+    return table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey AS order_key",
+        "l_partkey AS product_key",
+        "CAST(l_shipdate AS DATE) AS revenue_date",
+        "CAST(l_extendedprice AS DECIMAL(12,2)) AS amount_usd",
+    )
+
+
+def tenant_buyers(spark: SparkSession, folder: str) -> DataFrame:
+    """Tenant, region and customer of each order."""
     regions = (
         table(spark, folder, "customer")
         .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .select("c_custkey", "r_name")
     )
-    buyers = orders.join(regions, F.col("o_custkey") == F.col("c_custkey"), "left")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return orders.join(regions, F.col("o_custkey") == F.col("c_custkey"), "left").selectExpr(
+        "o_orderkey AS order_key",
+        "concat('TNT-', lpad(CAST(1 + o_custkey % 3 AS STRING), 6, '0')) AS tenant_id",
+        "r_name AS region",
+        "concat('C', o_custkey) AS customer_id",
+    )
+
+
+def tenant_products(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "part").selectExpr("p_partkey AS product_key", "p_type AS product_line")
+
+
+def tenant_revenue(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue of three tenants; a tenant holds a third of all rows. A line whose order, customer or part is unknown stays,
+    with what it lacks left null."""
     return (
-        table(spark, folder, "lineitem")
-        .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"), "left")
-        .selectExpr(
-            "concat('TNT-', lpad(CAST(1 + o_custkey % 3 AS STRING), 6, '0')) AS tenant_id",
-            "CAST(l_shipdate AS DATE) AS revenue_date",
-            "p_type AS product_line",
-            "r_name AS region",
-            "CAST(l_extendedprice AS DECIMAL(12,2)) AS amount_usd",
-            "concat('C', o_custkey) AS customer_id",
-        )
+        tenant_lines(spark, folder)
+        .join(tenant_buyers(spark, folder), "order_key", "left")
+        .join(tenant_products(spark, folder), "product_key", "left")
+        .select("tenant_id", "revenue_date", "product_line", "region", "amount_usd", "customer_id")
     )
 
 

@@ -3,7 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from tallyward.operators import tenancy
+from tallyward.sources import testdata as t
 from workloads import registry
 from plan_audit import physical_plan
 
@@ -67,3 +70,31 @@ def test_an_update_knows_its_delta_without_a_shuffle(plans):
 
 def test_versions_of_a_term_are_limited_before_they_meet(plans):
     assert re.search(r"WindowGroupLimit.*Exchange.*WindowGroupLimit", plans["glossary_latest"], re.DOTALL)
+
+
+@pytest.mark.parametrize("name", ["bi_revenue_summary", "bi_tenant_totals", "gdpr_safe_aggregates", "k_anonymity_check"])
+def test_raw_tenant_lines_are_shuffled_once(plans, name):
+    """Going up from the scan of the lines, one exchange comes before the first aggregate, a partial one: the one by order."""
+    tree = plans[name].splitlines()
+    depth = lambda line: len(re.match(r"[ :+-]*", line).group())
+    scan = next(i for i, line in enumerate(tree) if "lineitem.parquet" in line)
+    above, at = [], depth(tree[scan])
+    for line in reversed(tree[:scan]):
+        if depth(line) < at:
+            at = depth(line)
+            above.append(line)
+    first_sum = next(i for i, line in enumerate(above) if "HashAggregate" in line)
+    exchanges = [line for line in above[:first_sum] if "Exchange" in line]
+    assert len(exchanges) == 1 and "hashpartitioning(order_key" in exchanges[0]
+
+
+def test_cells_of_lines_equal_cells_of_rows(spark, sf):
+    lines = t.tenant_lines(spark, sf).withColumn("order_key", F.expr("if(order_key % 7 = 0, null, order_key)"))
+    lines = lines.withColumn("product_key", F.expr("if(product_key % 5 = 0, -product_key, product_key)"))
+    buyers, products = t.tenant_buyers(spark, sf), t.tenant_products(spark, sf)
+    rows = lines.join(buyers, "order_key", "left").join(products, "product_key", "left")
+    for unit in ("day", "month"):
+        want = tenancy.customer_cells(rows, unit)
+        got = tenancy.customer_cells_of_lines(lines, buyers, products, unit).select(*want.columns)
+        assert want.count() == got.count() and want.exceptAll(got).isEmpty()
+        assert got.filter("customer_id IS NULL").count() and got.filter("product_line IS NULL").count()

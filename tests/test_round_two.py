@@ -71,6 +71,21 @@ def test_inherited_roles_with_cycles(spark):
     assert got == {("a", "b"): 1, ("b", "c"): 1, ("a", "c"): 1, ("c", "a"): 1, ("d", "a"): 1, ("b", "a"): 2, ("c", "b"): 2, ("d", "b"): 2, ("d", "c"): 2}
 
 
+@pytest.mark.parametrize("edges", [[(i, i + 1) for i in range(19)] + [(19, 5)], [(i, j) for i in range(9) for j in (2 * i + 1, 2 * i + 2, i + 3)] + [(17, 0)], []])
+def test_inherited_roles_equal_a_search_from_each_role(spark, edges):
+    want = {}
+    for start in {a for a, _ in edges}:
+        seen, front, distance = {start}, {start}, 0
+        while front:
+            distance += 1
+            front = {b for a, b in edges if a in front} - seen
+            seen |= front
+            want |= {(f"r{start}", f"r{b}"): distance for b in front}
+    grants = spark.createDataFrame([(f"r{a}", f"r{b}") for a, b in edges] + [("x", None), (None, "y")], "role string, granted_role string")
+    got = [tuple(r) for r in access.effective_roles(grants).collect()]
+    assert {(a, b): d for a, b, d in got} == want and len(got) == len(want)
+
+
 def test_answers_of_inconsistent_questions_as_rows(spark):
     kind = "normalized_question string, answer_summary string, metrics_used array<string>, created_at timestamp_ntz"
     rows = [("q", "a", ["m"], NOW), ("q", "a", ["m"], NOW), ("q", "b", None, NOW), ("q", None, [], NOW), ("same", "a", ["m"], NOW), ("same", "a", ["n"], NOW), ("same", None, [], NOW), (None, "x", [], NOW), (None, "y", [], NOW)]

@@ -27,8 +27,16 @@ def _decisions(s, d):
     return access.query_metric_batch(t.metric_api_requests(s, d), t.metric_catalog(s, d), t.tenants(s, d), seeds.rate_limits(s))
 
 
+def _cells(s, d, unit):
+    return tenancy.customer_cells_of_lines(t.tenant_lines(s, d), t.tenant_buyers(s, d), t.tenant_products(s, d), unit)
+
+
 def _summary(s, d):
-    return tenancy.bi_revenue_summary(t.tenant_revenue(s, d), NOW)
+    return tenancy.bi_summary_of_cells(_cells(s, d, "day"), NOW)
+
+
+def _safe(s, d):
+    return tenancy.safe_aggregates_of_cells(_cells(s, d, "month"))
 
 
 def _page_loads(s, d):
@@ -110,8 +118,8 @@ QUERIES = {
     "api_status_summary": query(lambda s, d: access.api_status_summary(t.api_request_log(s, d))),
     "bi_revenue_summary": query(_summary),
     "bi_tenant_totals": query(lambda s, d: tenancy.bi_tenant_totals(_summary(s, d))),
-    "gdpr_safe_aggregates": query(lambda s, d: tenancy.gdpr_safe_aggregates(t.tenant_revenue(s, d))),
-    "k_anonymity_check": query(lambda s, d: tenancy.k_anonymity_check(tenancy.gdpr_safe_aggregates(t.tenant_revenue(s, d)))),
+    "gdpr_safe_aggregates": query(_safe),
+    "k_anonymity_check": query(lambda s, d: tenancy.k_anonymity_check(_safe(s, d))),
     "platform_inventory": query(_inventory),
     "page_load_metrics": query(lambda s, d: _rounded(_page_loads(s, d))),
     "page_load_metrics_all_days": query(
