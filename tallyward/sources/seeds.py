@@ -248,6 +248,22 @@ def alert_rules(spark: SparkSession) -> DataFrame:
     return literal_frame(spark, columns, [(*row, None, True) for row in ALERT_RULES])
 
 
+# --- Fixed values: conditions of the alert rules (rule, relation, rows looked at, condition over them)
+ALERT_TEXTS = [
+    ("Certification Below 80%", "metric_catalog", None, "round(count_if(certification_status = 'CERTIFIED') * 100.0 / nullif(count(*), 0), 1) < 80"),
+    ("SEV-1 Incident Opened", "incident_log", "severity = 1 and status = 'OPEN' and detected_at > as_of - interval 1 hour", "count(*) > 0"),
+    ("Metric Expired - Action Required", "metric_catalog", "certification_status = 'EXPIRED' and updated_at > as_of - interval 24 hours", "count(*) > 0"),
+    ("Promotion Gate Failure", "change_log", "status = 'BLOCKED' and deployed_at > as_of - interval 1 hour", "count(*) > 0"),
+    ("Domain Review Overdue", "domain_registry", "is_active and next_review_due < to_date(as_of)", "count(*) > 0"),
+    ("High Rollback Rate (>15%)", "change_log", "deployed_at > as_of - interval 7 days", "round(count_if(status = 'ROLLED_BACK') * 100.0 / nullif(count(*), 0), 1) > 15"),
+]
+
+
+def alert_texts(spark: SparkSession) -> DataFrame:
+    columns = [("rule_name", _STR), ("relation", _STR), ("row_filter", _STR), ("condition", _STR)]
+    return literal_frame(spark, columns, ALERT_TEXTS)
+
+
 # --- Fixed values: tenants (id, name, tier, region, metrics, views), users and the metrics of each tier
 TENANTS = [
     ("TNT-001", "Acme Corp", "enterprise", "us-west-2", ["*"], ["*"]),
