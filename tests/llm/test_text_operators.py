@@ -6,6 +6,7 @@ import collections
 import gzip
 import hashlib
 import lzma
+import math
 import re
 import urllib.parse
 import zlib
@@ -111,6 +112,26 @@ def test_quality_on_held_out_labels(spark):
     assert auc > 0.97 and all(r.predicted == int(r.score >= 0.3) for r in found)
 
 
+def test_scores_equal_a_scorer_that_looks_up_bins_one_by_one(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model = quality.fit(docs, labels)
+    assert model.edges and model.pairs
+    rows = docs.select("doc_id", "text").collect()
+    want = {}
+    for r in rows:
+        data = np.frombuffer((r.text or "").encode(), np.uint8)
+        x = quality.features(data, np.array([0, len(data)]))[0]
+        total = model.intercept
+        for value, edges, values in zip(x, model.edges, model.single):
+            total += values[sum(e < value for e in edges)]
+        rough = [sum(e < value for e in edges) for value, edges in zip(x, model.coarse)]
+        for i, j, values in model.pairs:
+            total += values[rough[i]][rough[j]]
+        want[r.doc_id] = 1 / (1 + math.exp(-total))
+    got = quality.score(docs, model).collect()
+    assert len(got) == len(rows) and all(math.isclose(r.score, want[r.doc_id], abs_tol=1e-9) for r in got)
+
+
 def test_additive_model_finds_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((4000, 4))
@@ -441,6 +462,32 @@ def test_convolution_tables_equal_a_plain_convolution():
     assert np.allclose(net.pooled(windows, net.tables())[0], np.concatenate(plain, axis=1), atol=1e-4)
 
 
+def test_languages_equal_a_plain_convolution_over_whole_documents(spark, sf):
+    docs = table(spark, sf, "documents")
+    net = language_id.fit(docs)
+    want = {}
+    rows = docs.select("doc_id", "text").collect()
+    for r in rows:
+        data, total = (r.text or "").encode(), 0
+        for begin in range(0, len(data), language_id.WINDOW):
+            whole = language_id.folded(np.frombuffer(data, np.uint8))[begin : begin + language_id.WINDOW]
+            window = np.concatenate([whole, np.zeros(language_id.WINDOW - len(whole), np.uint8)])
+            x = net.embedding[window]
+            top = [np.einsum("nek,kef->nf", np.lib.stride_tricks.sliding_window_view(x, len(f), axis=0), f).max(axis=0) for f in net.filters]
+            out = np.maximum(np.concatenate(top) + net.bias, 0) @ net.dense + net.offset
+            out = np.exp(out - out.max())
+            total = total + out / out.sum() * len(whole)
+        want[r.doc_id] = total / len(data) if any(c.isalpha() for c in r.text or "") else None
+    got = language_id.identify(docs, net).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if want[r.doc_id] is None:
+            assert (r.lang_pred, r.score) == ("und", 0)
+        else:
+            assert abs(want[r.doc_id].max() - r.score) < 1e-3
+            assert want[r.doc_id][net.languages.index(r.lang_pred)] > want[r.doc_id].max() - 1e-3
+
+
 def test_language_of_awkward_rows(spark):
     docs = awkward(spark)
     rows = language_id.identify(docs, language_id.fit(docs)).collect()
