@@ -1,7 +1,10 @@
 """The page stream equals the batch, also over many files, restarts and repeated batches."""
 
 from datetime import date
+from pathlib import Path
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from frames import rows
@@ -84,3 +87,85 @@ def test_refresh_touches_only_its_months(spark, sf, folder):
     kept = set(before) & set(files())
     replaced = {before[f] for f in set(before) - kept}
     assert all(m == "1999-07-01" or m >= "2001-07-01" for m in replaced)  # revenue dated ahead has later months
+
+
+def _open_batches(folder):
+    return sum(len(list(day.glob("batch_id=*"))) for day in Path(f"{folder}/out").glob("metric_date=*"))
+
+
+def test_compacted_days_equal_the_batch_before_and_after_late_batches(spark, sf, folder):
+    events = t.page_events(spark, sf)
+    first, second = events.randomSplit([0.5, 0.5], seed=5)
+    first.repartition(3).write.parquet(f"{folder}/in")
+    _stream(spark, f"{folder}/in", folder).awaitTermination()
+    out, far = f"{folder}/out", date(2100, 1, 1)
+    read = lambda: _as_rows(page_loads.read_page_load_metrics(spark, out, NOW, 24 * 40))
+    before, folders = read(), _open_batches(folder)
+    days = page_loads.compact_page_loads(spark, out, far)
+    assert len(days) > 20 and read() == before
+    assert page_loads.compact_page_loads(spark, out, far) == []  # nothing new since
+    page_loads.vacuum_page_loads(spark, out)
+    assert read() == before and _open_batches(folder) <= len(days) < folders / 2  # the newest batch alone is left
+
+    # Batches that change minutes of compacted days are read beside them, and go in with the next compaction.
+    second.repartition(3).write.mode("append").parquet(f"{folder}/in")
+    _stream(spark, f"{folder}/in", folder).awaitTermination()
+    expected = _as_rows(page_loads.page_load_metrics(events, NOW, 24 * 40))
+    assert read() == expected
+    page_loads.compact_page_loads(spark, out, days[5])  # twice without a new batch between: neither replaces the other's folders
+    page_loads.compact_page_loads(spark, out, far)
+    page_loads.vacuum_page_loads(spark, out)
+    assert read() == expected and len(_compacted_folders(spark, out)) <= len(days) + 1
+
+
+def _compacted_folders(spark, out):
+    return page_loads._compacted(spark, out).folders()
+
+
+def test_a_compaction_that_dies_before_its_manifest_changes_nothing(spark, sf, folder, monkeypatch):
+    t.page_events(spark, sf).repartition(3).write.parquet(f"{folder}/in")
+    _stream(spark, f"{folder}/in", folder).awaitTermination()
+    out = f"{folder}/out"
+    before = _as_rows(page_loads.read_page_load_metrics(spark, out, NOW))
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(page_loads.PartTable, "_publish", die)
+        with pytest.raises(RuntimeError):
+            page_loads.compact_page_loads(spark, out, date(2100, 1, 1))
+    assert _as_rows(page_loads.read_page_load_metrics(spark, out, NOW)) == before
+    assert page_loads.vacuum_page_loads(spark, out) == []
+    assert page_loads.compact_page_loads(spark, out, date(2100, 1, 1)) and _as_rows(page_loads.read_page_load_metrics(spark, out, NOW)) == before
+
+
+def test_expired_days_are_empty_and_stay_so(spark, sf, folder):
+    events = t.page_events(spark, sf)
+    events.repartition(3).write.parquet(f"{folder}/in")
+    _stream(spark, f"{folder}/in", folder).awaitTermination()
+    out = f"{folder}/out"
+    compacted = page_loads.compact_page_loads(spark, out, NOW.date())
+    cut = compacted[len(compacted) // 2]
+    last = max(b for batches in page_loads._emitted_folders(spark, out).values() for b in batches)
+    assert all(day < cut for day in page_loads.expire_page_loads(spark, out, cut))
+    assert page_loads.expire_page_loads(spark, out, cut) == []
+    for _ in range(2):
+        got = page_loads.read_page_load_metrics(spark, out, NOW, 24 * 40)
+        whole = page_loads.page_load_metrics(events, NOW, 24 * 40)
+        kept = F.col("metric_minute").cast("date") >= F.lit(cut)
+        assert _as_rows(got.filter(kept)) == _as_rows(whole.filter(kept))
+        newest = spark.read.schema(page_loads._STORED).parquet(out).filter(F.col("batch_id") == last)
+        seen = {r.metric_minute for r in newest.filter(F.col("metric_date") < F.lit(cut)).select("metric_minute").collect()}
+        assert {r.metric_minute for r in got.filter(~kept).select("metric_minute").collect()} == seen  # the newest batch may still be writing
+        page_loads.vacuum_page_loads(spark, out)
+
+
+def test_compacting_a_sink_without_rows_or_batches(spark, sf, folder):
+    t.page_events(spark, sf).limit(0).write.parquet(f"{folder}/in")
+    _stream(spark, f"{folder}/in", folder).awaitTermination()
+    for job in (page_loads.compact_page_loads, page_loads.expire_page_loads):
+        assert job(spark, f"{folder}/out", date(2100, 1, 1)) == []
+    assert page_loads.vacuum_page_loads(spark, f"{folder}/out") == []
+    with pytest.raises(AnalysisException):
+        page_loads.read_page_load_metrics(spark, f"{folder}/no such", NOW).collect()

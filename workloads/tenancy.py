@@ -60,6 +60,21 @@ def _page_load_stream(s, d):
     return _rounded(page_loads.read_page_load_metrics(s, f"{out}/data", EVENT_TIME))
 
 
+def _page_load_compacted(s, d):
+    """The stream's table after three waves of events, each with events of all days, its days compacted after each wave."""
+    root, events = scratch_path(s, "page-loads-compacted"), t.page_events(s, d)
+    for wave in range(3):
+        events.filter(F.pmod(F.hash("event_id"), F.lit(3)) == wave).write.mode("append").parquet(f"{root}/in")
+        arriving = s.readStream.schema(events.schema).parquet(f"{root}/in")
+        zoned = arriving.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+        page_loads.start_page_load_stream(
+            zoned, f"{root}/data", f"{root}/checkpoint", watermark="60 days", trigger={"availableNow": True}
+        ).awaitTermination()
+        page_loads.compact_page_loads(s, f"{root}/data", EVENT_TIME.date())
+        page_loads.vacuum_page_loads(s, f"{root}/data")
+    return _rounded(page_loads.read_page_load_metrics(s, f"{root}/data", EVENT_TIME, hours=24 * 31))
+
+
 LOGGED = ["endpoint", "method", "metric_requested", "tenant_id", "response_status", "response_time_ms", "served_from"]
 
 
@@ -126,6 +141,7 @@ QUERIES = {
         lambda s, d: _rounded(page_loads.page_load_metrics(t.page_events(s, d), EVENT_TIME, hours=24 * 31))
     ),
     "page_load_metrics_stream": query(_page_load_stream),
+    "page_load_metrics_compacted": query(_page_load_compacted),
     "page_load_with_freshness": query(lambda s, d: _rounded(_aged(s, d))),
     "freshness_distribution": query(lambda s, d: page_loads.freshness_distribution(_aged(s, d))),
     "freshness_sla": query(_sla),
@@ -252,6 +268,7 @@ FROM (SELECT tenant_id, sum(amount_usd) AS v FROM tenant_revenue GROUP BY revenu
     "page_load_metrics": _page_sql(),
     "page_load_metrics_all_days": _page_sql("TIMESTAMP '2023-12-31 00:00:00'"),
     "page_load_metrics_stream": _page_sql(),
+    "page_load_metrics_compacted": _page_sql("TIMESTAMP '2023-12-31 00:00:00'"),
     "page_load_with_freshness": _AGED,
     "freshness_distribution": f"""
 SELECT freshness_status, count(*) AS records, min(data_age_seconds) AS min_age_sec, max(data_age_seconds) AS max_age_sec
