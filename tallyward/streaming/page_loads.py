@@ -172,7 +172,8 @@ def compact_page_loads(spark: SparkSession, out: str, before: date) -> list[date
 
     A compacted day lists which micro-batches it covers. A later micro-batch that still changes one of its minutes is read beside it
     until the next compaction, so nothing depends on the day being over. Readers find the days by a manifest: a crash before it is
-    published changes nothing. One compaction or expiry runs at a time; the stream need not stop.
+    published changes nothing. One compaction or expiry runs at a time; the stream need not stop. Micro-batches are known by their
+    numbers, so ``out`` belongs to one checkpoint: a stream with a new one needs a new ``out``.
     """
     return _replace_days(spark, out, before, keep=True)
 
