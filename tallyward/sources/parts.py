@@ -73,12 +73,16 @@ class PartTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(f"{schema}, batch bigint").option("basePath", f"{self.root}/data").parquet(*folders).drop("batch")
 
-    def replace(self, rows: DataFrame, parts: Iterable[date], batch: int) -> None:
-        """Publishes the table with these parts as ``rows`` has them; a part without rows becomes empty, other parts stay."""
+    def replace(self, rows: DataFrame, parts: Iterable[date], batch: int, arranged: bool = False) -> None:
+        """Publishes the table with these parts as ``rows`` has them; a part without rows becomes empty, other parts stay.
+
+        ``arranged`` rows lie together by part already and are written as they lie.
+        """
         path, known = f"{self.root}/data/batch={batch}", self.manifest()
         names = T.StructType.fromDDL(self.ddl).names
+        rows = rows.select(*names, self.part)
         # Spark cuts a large part into several files and puts small ones together.
-        rows.select(*names, self.part).hint("rebalance", self.part).write.mode("overwrite").partitionBy(self.part).parquet(path)
+        (rows if arranged else rows.hint("rebalance", self.part)).write.mode("overwrite").partitionBy(self.part).parquet(path)
         sizes = {r.part: r.n for r in self._sizes(path)}
         known |= {part: (batch, sizes.get(part, 0)) for part in parts}
         self._publish(known, batch)

@@ -10,8 +10,10 @@ does not touch are pruned from the scan.
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The fixtures' "today": finance and governance rows end in 2001, events in January 2024.
@@ -45,8 +47,11 @@ def fct_revenue(spark: SparkSession, folder: str, customer: bool = True) -> Data
         "CASE l_returnflag WHEN 'R' THEN 'refund' WHEN 'A' THEN 'adjustment' ELSE 'none' END AS credit_type",
         "CAST(l_tax AS DECIMAL(4,2)) * CAST(l_extendedprice AS DECIMAL(12,2)) AS credit_amount_usd",
     )
-    if not customer:
-        return lines
+    return with_customer(spark, folder, lines) if customer else lines
+
+
+def with_customer(spark: SparkSession, folder: str, lines: DataFrame) -> DataFrame:
+    """Lines with the customer of their order."""
     buyers = table(spark, folder, "orders").selectExpr(
         "o_orderkey AS contract_id", "concat('C', o_custkey) AS customer_id"
     )
@@ -734,19 +739,27 @@ def revenue_deliveries(spark: SparkSession, folder: str) -> list[tuple[DataFrame
     One-time lines arrive late. Adjusted lines first arrive without their discount and are corrected. Refunded
     subscriptions arrive twice, and one of the two is withdrawn. Each of these touches every month.
     """
-    rev = fct_revenue(spark, folder)
+    lines, columns = fct_revenue(spark, folder, customer=False), fct_revenue(spark, folder).columns
     late, adjusted = F.col("revenue_type") == "one_time", F.col("credit_type") == "adjustment"
     twice = (F.col("credit_type") == "refund") & (F.col("revenue_type") == "subscription")
-    wrong = rev.filter(adjusted & ~late).withColumn("amount_usd", F.col("amount_usd") + 1)
+    right, wrong = F.col("amount_usd"), F.col("amount_usd") + 1
+    wide = lines.select(wrong).schema[0].dataType
+
+    def delivered(*copies) -> DataFrame:
+        """Each line once for every condition it meets, with that amount and sign, before it meets its order: a delivery is one pass."""
+        def of(values: list, otherwise) -> Column:
+            return reduce(lambda rest, k: F.when(F.col("copy") == k, values[k]).otherwise(rest), range(len(values) - 1), otherwise)
 
-    def signed(rows: DataFrame, sign: int) -> DataFrame:
-        return rows.withColumn("sign", F.lit(sign))
+        met, amounts, signs = zip(*copies, strict=True)
+        which = F.explode(F.array(*[F.when(c, F.lit(k)) for k, c in enumerate(met)]))
+        rows = lines.filter(reduce(or_, met)).withColumn("copy", which).filter(F.col("copy").isNotNull())
+        rows = rows.withColumns({"amount_usd": of([a.cast(wide) for a in amounts], amounts[-1].cast(wide)), "sign": of([F.lit(x) for x in signs], F.lit(signs[-1]))})
+        return with_customer(spark, folder, rows).select(*columns, "sign")
 
-    right = rev.filter(adjusted & ~late)
     return [
-        (signed(rev.filter(~late & ~adjusted), 1).unionByName(signed(rev.filter(twice), 1)).unionByName(signed(wrong, 1)), 1),
-        (signed(rev.filter(late & F.col("is_recurring").isNotNull()), 1).unionByName(signed(wrong, -1)).unionByName(signed(right, 1)), 2),
-        (signed(rev.filter(twice), -1), 3),
+        (delivered((~late & ~adjusted, right, 1), (twice, right, 1), (adjusted & ~late, wrong, 1)), 1),
+        (delivered((late & F.col("is_recurring").isNotNull(), right, 1), (adjusted & ~late, wrong, -1), (adjusted & ~late, right, 1)), 2),
+        (delivered((twice, right, -1)), 3),
     ]
 
 
