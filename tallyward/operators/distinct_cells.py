@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..context import cut_lineage
 
+TASK_IDS = 8192  # a quarter of a bitmap's range
+
 
 def read_numbering(spark: SparkSession, path: str) -> DataFrame:
     """(id, number), empty before the first batch."""
@@ -45,14 +47,23 @@ def extend_numbering(ids: DataFrame, path: str, batch: int) -> DataFrame:
     return read_numbering(spark, path).select("id", "number")
 
 
+def tasks_for(numbering: DataFrame) -> int:
+    """In how many tasks rows of these ids are sorted and joined: the rows of a task do not grow with the number of ids."""
+    return 1 + (numbering.agg(F.max("number").alias("last")).first().last or 0) // TASK_IDS
+
+
 def distinct_cells(rows: DataFrame, numbering: DataFrame, keys: dict[str, Column], id_column: str) -> DataFrame:
     """Cells of the keys: for each range of numbers a bitmap of the ids seen. Rows are reduced to distinct ids of a cell
-    before they meet the numbering, so a busy customer is one row for each cell."""
+    before they meet the numbering, so a busy customer is one row for each cell. The numbers of a cell meet as they are
+    and become one bitmap where they meet: bitmaps of each task's share, 4 KB for a few ids, would be as many for each task."""
+    tasks = tasks_for(numbering)
     seen = rows.select(*[c.alias(name) for name, c in keys.items()], F.col(id_column).cast("string").alias("id")).filter(F.col("id").isNotNull()).distinct()
     return (
-        seen.join(numbering, "id")
-        .groupBy(*keys, F.bitmap_bucket_number("number").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
+        seen.join(numbering.hint("shuffle_hash"), "id")
+        .select(*keys, F.bitmap_bucket_number("number").alias("bucket"), F.bitmap_bit_position("number").alias("bit"))
+        .repartition(tasks, *keys, "bucket")
+        .groupBy(*keys, "bucket")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from frames import rows
 from plan_audit import physical_plan
+from tallyward.operators import distinct_cells
 from tallyward.sources import testdata as t
 from tallyward.streaming import revenue_ledger
 
@@ -57,3 +58,20 @@ def test_a_ledger_of_many_tasks(spark, folder, monkeypatch):
     assert rows(cells.select(whole.columns)) == rows(whole) and len(ledger.lines.read().inputFiles()) > 4
     lying = revenue_ledger.cells_of(ledger.lines.read(), cust, 180)._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression" in lying and "37" in lying  # tasks follow the lines, not the session's number of partitions
+
+
+def test_bitmaps_are_made_where_their_numbers_meet(spark, folder, monkeypatch):
+    """No bitmap of a task's share is shuffled, and tasks follow the ids, not the session's number of partitions."""
+    monkeypatch.setattr(distinct_cells, "TASK_IDS", 10)
+    ids = spark.range(95).select(F.concat(F.lit("u"), "id").alias("id"))
+    numbering = distinct_cells.extend_numbering(ids, folder, 1)
+    assert distinct_cells.tasks_for(numbering) == 10 and distinct_cells.tasks_for(numbering.limit(0)) == 1
+    facts = spark.range(900).select(F.concat(F.lit("u"), F.col("id") % 100).alias("user"), F.when(F.col("id") % 7 > 0, F.col("id") % 4).alias("month"))
+    facts = facts.unionByName(facts.limit(50)).unionByName(spark.createDataFrame([(None, 1)], facts.schema))
+    cells = distinct_cells.distinct_cells(facts, numbering, {"month": F.col("month")}, "user")
+    tree = physical_plan(cells).splitlines()
+    made = [i for i, line in enumerate(tree) if "SortAggregate" in line and "construct_agg" in line]
+    assert len(made) == 2 and not any("Exchange" in line for line in tree[made[0] : made[1]])
+    assert "RepartitionByExpression [month" in cells._jdf.queryExecution().optimizedPlan().toString()
+    known = facts.join(ids, facts["user"] == ids["id"]).groupBy("month").agg(F.count_distinct("user").alias("distinct_count"))
+    assert rows(distinct_cells.distinct_count(cells, {"month": F.col("month")})) == rows(known)

@@ -37,8 +37,9 @@ def _cells(s, d):
     path = scratch_path(s, "customer-cells")
     cust, rev = t.dim_customer(s, d), t.fct_revenue(s, d)
     numbering = distinct_cells.extend_numbering(cust.select(F.col("customer_id").alias("id")), f"{path}/numbering", 1)
-    by_month = rev.select(F.trunc("recognized_date", "month").alias("month"), "customer_id").distinct()
-    rows = by_month.join(cust.select("customer_id", "segment", "region"), "customer_id")
+    tasks = distinct_cells.tasks_for(numbering)
+    by_month = rev.select(F.trunc("recognized_date", "month").alias("month"), "customer_id").repartition(tasks, "month", "customer_id").distinct()
+    rows = by_month.repartition(tasks, "customer_id").join(cust.select("customer_id", "segment", "region").hint("shuffle_hash"), "customer_id")
     keys = {"month": F.col("month"), "segment": F.col("segment"), "region": F.col("region")}
     distinct_cells.distinct_cells(rows, numbering, keys, "customer_id").write.parquet(f"{path}/cells")
     return s.read.parquet(f"{path}/cells")
